@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrymill.llm import quality_rules
+from quarrymill.llm import bpe, packing, quality_rules, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_token_ids": tokens.op5,
+        "op7_packing": packing.op7,
+        "op9_bpe": bpe.op9,
         "op10_quality_rules": quality_rules.op10,
     }
 
