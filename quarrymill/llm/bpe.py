@@ -16,32 +16,19 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm.tokens import CHUNKS, chunks, default_vocabulary, text_parts
+from quarrymill.llm.tokens import CHUNKS, Pretokenizer, _Generations, chunks, default_vocabulary, text_parts
 from quarrymill.llm.work import table
 
 _LAST = 0x400
 _NEVER = 1 << 60
 
 
-def _byte_letters() -> list[str]:
-    """The letter that stands for each byte: itself where it prints, else the next letter from U+0100 on."""
-    out, spare = [], 0x100
-    for b in range(256):
-        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
-            out.append(chr(b))
-        else:
-            out.append(chr(spare))
-            spare += 1
-    return out
-
-
 class PrefixEncoder:
     """Encoder of vocabularies with byte letters, word ends and the pre-tokenization of `word_bpe_49k.json`."""
 
@@ -49,46 +36,41 @@ class PrefixEncoder:
 
     def __init__(self, path: str):
         import ahocorasick
-        import regex
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, steps = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
-        kinds = [x["type"] for x in spec["normalizer"]["normalizers"]]
-        if kinds != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
-            raise ValueError(f"{path}: only NFC, white space and lower case, then a split, are implemented")
-        if not model["end_of_word_suffix"] or model["dropout"] or spec.get("decoder"):
-            raise ValueError(f"{path}: only vocabularies with word ends, without dropout and decoder are implemented")
+        self.before = Pretokenizer(spec, path)
+        model = spec["model"]
         suffix = model["end_of_word_suffix"]
-        self.pieces = regex.compile(steps[0]["pattern"]["Regex"])
-        self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.marked = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
-        self.letters = _byte_letters()
+        self.names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.before.special.items()}
 
         def symbols(token: str) -> str:
             word = token.removesuffix(suffix)
             return word if word == token else word[:-1] + chr(ord(word[-1]) + _LAST)
 
-        self.length = {}
-        self.automaton = ahocorasick.Automaton()
-        self.made, self.left, self.right, self.rank = {}, {}, {}, {}
-        for token, i in model["vocab"].items():
-            s = symbols(token)
-            self.length[i] = len(s)
-            self.automaton.add_word(s, i)
-            self.made[i] = -1
-        self.automaton.make_automaton()
         vocab = model["vocab"]
+        size = max(vocab.values()) + 1
+        self.length = [0] * size
+        self.made, self.left, self.right = [-1] * size, [0] * size, [0] * size
+        self.rank: dict[tuple[int, int], int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
             x, y, made = vocab[a], vocab[b], vocab[a + b]
             if max(self.made[x], self.made[y]) >= rank or self.made[made] >= 0:
                 raise ValueError(f"{path}: a merge comes before what it joins, or makes a token again")
             self.made[made], self.left[made], self.right[made], self.rank[x, y] = rank, x, y, rank
-        self.beside: dict[tuple[int, int], bool] = {}
-        self.pieces_seen = _Pieces(self)
-        self.ids_of = _Chunks(self)
-        self.texts_of = self.ids_of.texts
+        self.automaton = ahocorasick.Automaton()
+        whole: set[int] = set()
+        for token, i in sorted(vocab.items(), key=lambda x: self.made[x[1]]):
+            a, b, at = self.left[i], self.right[i], self.made[i]
+            # a token's own letters must encode to it, else it ends no prefix
+            if at < 0 or (a in whole and b in whole and self._apart(a, b, at)):
+                whole.add(i)
+                self.length[i] = len(symbols(token))
+                self.automaton.add_word(symbols(token), i)
+        self.automaton.make_automaton()
+        self.beside: dict[int, bool] = {}
+        self.pieces = _Generations(self._letters, CHUNKS)
+        self.texts = _Generations(self._texts, CHUNKS // 2)
 
     @classmethod
     def of(cls, path: str) -> PrefixEncoder:
@@ -96,51 +78,13 @@ class PrefixEncoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def may_stand(self, a: int, b: int) -> bool:
-        """Whether a and b, side by side, stay apart."""
-        found = self.beside.get((a, b))
-        if found is None:
-            if len(self.beside) > 1_000_000:
-                self.beside.clear()
-            found = self.beside[a, b] = self._apart(a, b)
-        return found
-
-    def _apart(self, x: int, y: int) -> bool:
-        made = self.made
-        x_until = y_until = _NEVER
-        while True:
-            # x and y meet until the earlier of the merges that take them up; of equal merges the left one goes first
-            rank = self.rank.get((x, y))
-            if rank is not None and rank < x_until and rank <= y_until:
-                return False
-            if made[x] > made[y]:
-                x_until, x = made[x], self.right[x]
-            elif made[y] >= 0:
-                y_until, y = made[y], self.left[y]
-            else:
-                return True
-
-    def whole(self, token: int) -> bool:
-        """Whether a token's own letters encode to it: its two parts must each be whole and only merge at its rank."""
-        key = (token, -1)
-        found = self.beside.get(key)
-        if found is None:
-            a, b = self.left.get(token), self.right.get(token)
-            found = a is None or (self.whole(a) and self.whole(b) and self._joins(a, b, self.made[token]))
-            self.beside[key] = found
-        return found
-
-    def _joins(self, x: int, y: int, at: int) -> bool:
-        made = self.made
-        x_until = y_until = at
-        if made[x] > made[y]:
-            x_until, x = made[x], self.right[x]
-        elif made[y] >= 0:
-            y_until, y = made[y], self.left[y]
-        else:
-            return True
+    def _apart(self, x: int, y: int, until: int = _NEVER) -> bool:
+        """Whether x and y, side by side, stay apart: for ever, or until the merge of that rank takes them both."""
+        made, ranks = self.made, self.rank
+        x_until = y_until = until
         while True:
-            rank = self.rank.get((x, y))
+            # they meet until the earlier of the merges that take them up; of equal merges the left one goes first
+            rank = ranks.get((x, y))
             if rank is not None and rank < x_until and rank <= y_until:
                 return False
             if made[x] > made[y]:
@@ -153,34 +97,47 @@ class PrefixEncoder:
     def piece(self, letters: str) -> list[int]:
         """Ids of one pre-token in byte letters, the last of which is marked."""
         last = [-1] * len(letters)
-        length, stands = self.length, self.may_stand
+        length, beside = self.length, self.beside
         for end, token in self.automaton.iter(letters):
             if last[end] < 0:
                 before = end - length[token]
                 if before < 0:
-                    if self.whole(token):
-                        last[end] = token
-                elif last[before] >= 0 and stands(last[before], token) and self.whole(token):
                     last[end] = token
+                else:
+                    left = last[before]
+                    pair = left << 32 | token
+                    stands = beside.get(pair)
+                    if stands is None:
+                        stands = beside[pair] = self._apart(left, token)
+                    if stands:
+                        last[end] = token
+        if len(beside) > 1_000_000:
+            beside.clear()
         out, i = [], len(letters) - 1
         while i >= 0:
             out.append(last[i])
             i -= length[last[i]]
         return out[::-1]
 
+    def _letters(self, piece: str) -> list[int]:
+        letters = self.before.in_letters(piece)
+        return self.piece(letters[:-1] + chr(ord(letters[-1]) + _LAST))
+
     def chunk(self, text: str) -> list[int]:
         """Ids of a text without white space."""
         out: list[int] = []
-        for part in self.marked.split(text) if self.marked else [text]:
-            if part in self.special:
-                out.append(self.special[part])
-            elif part:
-                plain = part if part.isascii() else unicodedata.normalize("NFC", part)
-                plain = plain.lower() if plain.isascii() else "".join(c.lower() for c in plain)
-                for word in self.pieces.findall(plain):
-                    out += self.pieces_seen[word]
+        for piece in self.before.pieces(text):
+            if isinstance(piece, int):
+                out.append(piece)
+            else:
+                out += self.pieces[piece]
         return out
 
+    def _texts(self, chunk: str) -> tuple[str, str]:
+        """Ids in decimal, and their decoding."""
+        ids = self.chunk(chunk)
+        return " ".join(map(str, ids)), self.decode(ids)
+
     def encode(self, text: str | None) -> list[int]:
         return [i for c in chunks(text or "") for i in self.chunk(c)]
 
@@ -189,45 +146,6 @@ class PrefixEncoder:
         return " ".join(self.names[i] for i in ids)
 
 
-class _Pieces(dict):
-    """Ids by pre-token."""
-
-    def __init__(self, encoder: PrefixEncoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, word: str) -> list[int]:
-        encoder = self.encoder
-        if word.isascii() and word.isprintable():
-            letters = word
-        else:
-            letters = "".join(encoder.letters[b] for b in word.encode())
-        out = encoder.piece(letters[:-1] + chr(ord(letters[-1]) + _LAST))
-        if len(self) > CHUNKS // 2:
-            self.clear()
-        self[word] = out
-        return out
-
-
-class _Chunks(dict):
-    """Ids as decimal text by chunk; `texts` holds their decoding."""
-
-    def __init__(self, encoder: PrefixEncoder):
-        super().__init__()
-        self.encoder, self.texts = encoder, {}
-
-    def __missing__(self, chunk: str) -> str:
-        ids = self.encoder.chunk(chunk)
-        self.texts[chunk] = self.encoder.decode(ids)
-        self[chunk] = out = " ".join(map(str, ids))
-        return out
-
-    def trim(self) -> None:
-        if len(self) > CHUNKS // 2:
-            self.clear()
-            self.texts.clear()
-
-
 def encoded(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Per document: doc_id, text, ids and the decoding of the ids."""
     vocabulary = vocabulary or default_vocabulary()
@@ -253,15 +171,15 @@ def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PrefixEncoder.of(vocabulary)
-        ids_of, texts_of = encoder.ids_of, encoder.texts_of
+        get = encoder.texts.__getitem__
         for whole in batches:
             for batch in text_parts(whole, "text"):
                 counts, ids_sha, texts_sha = [], [], []
                 for text in batch.column("text").to_pylist():
-                    ids_of.trim()
-                    parts = chunks(text or "")
-                    ids = " ".join([x for x in map(ids_of.__getitem__, parts) if x])
-                    back = " ".join([x for x in map(texts_of.__getitem__, parts) if x])
+                    found = list(map(get, chunks(text or "")))
+                    ids, back = " ".join([x for x, _ in found]), " ".join([x for _, x in found])
+                    encoder.texts.turn()
+                    encoder.pieces.turn()
                     counts.append(ids.count(" ") + 1 if ids else 0)
                     ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
                     texts_sha.append(hashlib.sha256(back.encode()).hexdigest())

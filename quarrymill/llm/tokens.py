@@ -1,8 +1,8 @@
 """Token ids of whole texts, kept in ORC files and read back.
 
-Text is encoded by the `tokenizers` library.  White space separates pre-tokens and is dropped by the vocabularies used
-here, so that the ids of a text are those of its chunks between white space, in order; each worker keeps the ids of
-chunks that it has seen, in a table of bounded size.
+Text is encoded by the `tokenizers` library's model.  White space separates pre-tokens and is dropped by the
+vocabularies used here, so that the ids of a text are those of its chunks between white space, in order; each worker
+keeps the ids of chunks and pre-tokens that it has seen, in tables of bounded size.
 
 Edge cases: a null or empty text has no ids but the end id; documents with equal ids (or a null one, which comes first)
 are kept as rows of their own, in the order of their texts; other columns do not matter; an empty table gives none.
@@ -10,9 +10,11 @@ are kept as rows of their own, in the order of their texts; other columns do not
 
 from __future__ import annotations
 
-import os
+import json
 import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark.sql.window import Window
 from quarrymill.llm.work import Work, shared_dir, table
 
 END_ID = 2
-CHUNKS = 400_000
+CHUNKS = 250_000
 VOCABULARY = "word_bpe_49k.json"
 
 #: White space by the Unicode property; str.split() takes four separators more.
@@ -48,25 +50,102 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
-class Encoder:
-    """Little-endian unsigned 32-bit ids of texts.
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself where it prints, else the next letter from U+0100 on."""
+    out, spare = [], 0x100
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+            out.append(chr(b))
+        else:
+            out.append(chr(spare))
+            spare += 1
+    return out
+
+
+class Pretokenizer:
+    """What comes before the merges of a vocabulary like `word_bpe_49k.json`: special tokens, NFC, lower case, a split."""
+
+    def __init__(self, spec: dict, path: str):
+        import regex
+
+        model, steps = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
+        kinds = [x["type"] for x in spec["normalizer"]["normalizers"]]
+        if kinds != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+            raise ValueError(f"{path}: only NFC, white space and lower case, then a split, are implemented")
+        if not model["end_of_word_suffix"] or model["dropout"] or spec.get("decoder"):
+            raise ValueError(f"{path}: only vocabularies with word ends, without dropout and decoder are implemented")
+        self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        self.marked = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.letters = dict(enumerate(byte_letters()))
+
+    def pieces(self, chunk: str) -> list[str | int] | tuple[str, ...]:
+        """Pre-tokens of a text without white space, and the ids of special tokens in it."""
+        low = chunk.lower()
+        if low.isascii() or (unicodedata.is_normalized("NFC", chunk) and "\u03a3" not in chunk):
+            # most are letters, or letters and one other character
+            if low.isalpha():
+                return (low,)
+            if low[:-1].isalpha():
+                return low[:-1], low[-1]
+        if self.marked is None or not self.marked.search(chunk):
+            return self._plain(chunk)
+        out: list[str | int] = []
+        for part in self.marked.split(chunk):
+            if part in self.special:
+                out.append(self.special[part])
+            elif part:
+                out += self._plain(part)
+        return out
 
-    Chunks not seen before are encoded together, as one text, and told apart by the places of their tokens.  The table
-    of seen chunks has two generations: when the younger is full it becomes the older, whose entries are kept on if
-    they are met again.
-    """
+    def _plain(self, part: str) -> list[str]:
+        if not part.isascii():
+            part = unicodedata.normalize("NFC", part)
+        # letter by letter, the library knows no final sigma
+        return self.split("".join(c.lower() for c in part) if "\u03a3" in part else part.lower())
+
+    def in_letters(self, piece: str) -> str:
+        if piece.isascii() and piece.isprintable():
+            return piece
+        return piece.encode().decode("latin-1").translate(self.letters)
+
+
+class _Generations(dict):
+    """Values by key, made when first met.  When it is full it becomes the older of two generations, whose entries are
+    kept on if they are met again."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key: str):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
+        return found
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+
+class Encoder:
+    """Little-endian unsigned 32-bit ids of texts, from the library's model for each pre-token not seen before."""
 
     _by_path: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.before = Pretokenizer(spec, path)
+        self.pieces = _Generations(self._piece, CHUNKS)
+        self.chunks = _Generations(self._chunk, CHUNKS)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -75,30 +154,24 @@ class Encoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    def _piece(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(self.before.in_letters(piece))]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        found = self.before.pieces(chunk)
+        if type(found) is tuple:
+            return self.pieces[found[0]] if len(found) == 1 else self.pieces[found[0]] + self.pieces[found[1]]
+        return b"".join([array("I", [x]).tobytes() if isinstance(x, int) else self.pieces[x] for x in found])
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = [chunks(t) if t else [] for t in texts]
-        new = set().union(*words).difference(self.young)
-        for chunk in new & self.old.keys():
-            self.young[chunk] = self.old[chunk]
-        self._learn([x for x in new if x not in self.old])
-        get = self.young.__getitem__
-        out = [b"".join(map(get, w)) for w in words]
-        if len(self.young) > CHUNKS:
-            self.young, self.old = {}, self.young
+        get = self.chunks.__getitem__
+        out = []
+        for text in texts:
+            out.append(b"".join(map(get, chunks(text))) if text else b"")
+            self.chunks.turn()
+            self.pieces.turn()
         return out
 
-    def _learn(self, new: list[str], most: int = 20_000) -> None:
-        for i in range(0, len(new), most):
-            part = new[i : i + most]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            places = np.fromiter((x for x, _ in found.offsets), np.int64, len(ids))
-            starts = np.cumsum([0] + [len(x) + 1 for x in part])
-            cuts = np.searchsorted(places, starts)
-            data = ids.tobytes()
-            for x, a, b in zip(part, (cuts * 4).tolist(), (cuts[1:] * 4).tolist()):
-                self.young[x] = data[a:b]
-
 
 def text_parts(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts a batch where its texts reach a size."""

@@ -46,6 +46,7 @@ def test_encoders_equal_the_library(library):
 def test_generations_of_seen_chunks(library, monkeypatch):
     monkeypatch.setattr(tokens, "CHUNKS", 3)
     encoder = tokens.Encoder(tokens.default_vocabulary())
+    assert encoder.chunks.most == 3
     for text in ("a b c d", "a e f g", "a b h", "a b c d e f g h"):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids_of(library, text)
 
