@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrymill.llm import bpe, packing, quality_rules, substring_dedup, suffix_dedup, tokens
+from quarrymill.llm import bpe, embeddings, minhash, packing, quality_rules, substring_dedup, suffix_dedup, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_embedding_dedup": embeddings.op2,
         "op3_substring_dedup": substring_dedup.op3,
         "op5_token_ids": tokens.op5,
+        "op6_minhash": minhash.op6,
         "op7_packing": packing.op7,
         "op8_suffix_dedup": suffix_dedup.op8,
         "op9_bpe": bpe.op9,
