@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrymill.llm import bpe, embeddings, minhash, packing, quality_rules, substring_dedup, suffix_dedup, tokens
+from quarrymill.llm import bpe, embeddings, minhash, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, tokens, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": toxicity.op1,
         "op2_embedding_dedup": embeddings.op2,
         "op3_substring_dedup": substring_dedup.op3,
+        "op4_quality_classifier": quality_classifier.op4,
         "op5_token_ids": tokens.op5,
         "op6_minhash": minhash.op6,
         "op7_packing": packing.op7,
