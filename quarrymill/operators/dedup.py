@@ -25,9 +25,15 @@ def first_of_key(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min("idx").alias("idx"))
 
 
-def set_classes(docs: DataFrame) -> DataFrame:
-    """idx, rep, tokens: documents by equal word sets; rep is the first of them.  Empty sets are left out."""
-    sets = docs.select("idx", F.array_sort(T.word_set(F.col("text"))).alias("tokens")).where(F.size("tokens") > 0)
+def set_classes(docs: DataFrame, within: str | None = None) -> DataFrame:
+    """idx, rep, tokens: documents by equal word sets; rep is the first of them.  Empty sets are left out.
+
+    Where `within` is given, words of rows that differ in it are different words.
+    """
+    tokens = T.word_set(F.col("text"))
+    if within:
+        tokens = F.transform(tokens, lambda w: F.concat_ws(":", F.col(within), w))
+    sets = docs.select("idx", F.array_sort(tokens).alias("tokens")).where(F.size("tokens") > 0)
     named = sets.withColumn("name", F.md5(F.array_join("tokens", "\u0001")))
     reps = named.groupBy("name").agg(F.min("idx").alias("rep"))
     return named.join(reps, "name").select("idx", "rep", "tokens")
@@ -78,9 +84,9 @@ def greedy_removed(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("id")).limit(0) if removed is None else removed
 
 
-def greedy_kept(docs: DataFrame, percent: int = 85) -> DataFrame:
+def greedy_kept(docs: DataFrame, percent: int = 85, within: str | None = None) -> DataFrame:
     """idx and kept: near-duplicate removal in order of idx; rows without words stay."""
-    classes = checkpointed(set_classes(docs))
-    gone = greedy_removed(near_pairs(classes, percent)).withColumn("gone", F.lit(True))
+    classes = checkpointed(set_classes(docs, within))
+    gone = greedy_removed(checkpointed(near_pairs(classes, percent))).withColumn("gone", F.lit(True))
     state = classes.join(gone, classes.rep == gone.id, "left").select("idx", ((F.col("idx") != F.col("rep")) | F.coalesce("gone", F.lit(False))).alias("out"))
     return docs.select("idx").join(state, "idx", "left").select("idx", (~F.coalesce("out", F.lit(False))).alias("kept"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarrymill.functions import gates as G
 from quarrymill.functions import text as T
 from quarrymill.operators import dedup, merge
+from quarrymill.session import checkpointed
 
 
 def cleaned(qa: DataFrame, languages=("en", "fr")) -> DataFrame:
@@ -35,11 +36,10 @@ def judged(rows: DataFrame, vocabularies: dict[str, tuple[str, ...]]) -> DataFra
 def premium(qa: DataFrame, vocabularies: dict[str, tuple[str, ...]], least: float = 7.0, percent: int = 85) -> DataFrame:
     """idx, language, q, a, score of what remains: exact and near-duplicate questions go, languages are balanced."""
     good = judged(cleaned(qa, tuple(vocabularies)), vocabularies).where(F.col("reason").isNull() & (F.col("score") >= least))
-    kept = []
-    for language in vocabularies:
-        rows = good.where(F.col("language") == language)
-        first = dedup.first_of_key(rows.withColumn("key", T.fuzzy_hash(F.col("q"))), "key").select("idx")
-        rows = rows.join(first, "idx", "left_semi")
-        stays = dedup.greedy_kept(rows.select("idx", F.col("q").alias("text")), percent).where("kept").select("idx")
-        kept.append(rows.join(stays, "idx", "left_semi"))
-    return merge.balanced(reduce(DataFrame.unionByName, kept)).select("idx", "language", "q", "a", "score")
+    good = checkpointed(good.select("idx", "language", "q", "a", "score"))
+    first = dedup.first_of_key(good.withColumn("key", F.concat_ws(":", "language", T.fuzzy_hash(F.col("q")))), "key").select("idx")
+    rows = good.join(first, "idx", "left_semi")
+    stays = dedup.greedy_kept(rows.select("idx", F.col("q").alias("text"), "language"), percent, "language").where("kept")
+    stays = checkpointed(stays.select("idx"))
+    places = merge.balanced(rows.select("idx", "language").join(stays, "idx", "left_semi"))
+    return good.join(places.select("idx"), "idx", "left_semi")
