@@ -204,7 +204,7 @@ def test_generation(spark):
 
 
 def test_premium_keeps_one_of_near_copies(spark):
-    answer = " ".join(f"Point {w} shows a risk for {w}ing teams." for w in "alpha beta gamma delta epsilon zeta eta theta".split())
+    answer = " ".join(f"Point {w} shows {w}y risk for {w}ing teams." for w in "alpha beta gamma delta epsilon zeta eta theta".split())
     qs = ["What is the risk of this work today?", "What is the risk of this work today!", "How does the team plan for every risk now?"]
     rows = [(i, q, answer, "en") for i, q in enumerate(qs)] + [(9, "Le projet est il un risque pour nous?", answer, "fr")]
     rows += [(10, "what is it", answer, "en"), (11, "Why is there a risk in it?", "No.", "en")]
