@@ -105,7 +105,10 @@ def ledger(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     mask = bits[0]
     for bit in bits[1:]:
         mask = mask.bitwiseOR(bit)
-    return measured(docs, id_column, text_column).withColumn("failures", mask.cast("bigint"))
+    # A filter on `failures` must not move below the measurements, where it would compute them again for every word:
+    # optimizers move none past a column that depends on the row's place.
+    placed = F.when(F.monotonically_increasing_id() >= 0, mask.cast("bigint"))
+    return measured(docs, id_column, text_column).withColumn("failures", placed)
 
 
 def passes(policy: Policy) -> Column:
@@ -166,14 +169,15 @@ WITH d AS (
          list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
-g AS (SELECT doc_id, i, list_slice(w, i, i + 4) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+z AS (SELECT doc_id, unnest(list_zip(range(1, len(w) + 1), w, w[2:], w[3:], w[4:], w[5:])) AS z FROM d),
+g AS (SELECT doc_id, z[1] AS i, [z[2], z[3], z[4], z[5], z[6]] AS g FROM z WHERE z[6] IS NOT NULL),
 r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
 c AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM (SELECT doc_id, i, unnest(range(0, 5)) AS j FROM r) GROUP BY doc_id),
 m AS (
   SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
-         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echo_words
+         len(list_filter(list_zip(w, w[2:]), lambda x: x[1] = x[2])) AS n_echo_words
   FROM d LEFT JOIN c USING (doc_id)),
 f AS (
   SELECT *, CAST(CASE WHEN n_words < 10 THEN 1 ELSE 0 END
