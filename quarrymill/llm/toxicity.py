@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quarrymill.llm import kernels as K
 from quarrymill.llm.labelled import held_out, isotonic, training_sample
 from quarrymill.llm.tokens import _Generations
-from quarrymill.llm.work import Work, table
+from quarrymill.llm.work import Work, release_memory, table
 
 EXAMPLES = 20_000
 TERMS = 256
@@ -38,6 +38,8 @@ NEAREST = 25
 #: A log likelihood ratio that, among a million terms, chance reaches once in twenty times.
 LEAST_GAIN = 15.0
 BLOCK = 32
+#: Entries of a worker's caches: words' terms, vectors' scores.
+CHUNKS, VECTORS = 50_000, 10_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -78,8 +80,8 @@ def vocabulary(chosen: DataFrame, size: int) -> list[str]:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                words = set(_LETTERS.findall((text or "").lower()))
+            for text, y in zip(batch.column("text"), batch.column("y").to_pylist()):
+                words = set(_LETTERS.findall((text.as_py() or "").lower()))
                 counts[1 if y else 0].update({t for w in words for t in terms_of(w)})
         every = list(counts[0].keys() | counts[1].keys())
         for i in range(0, len(every), 20_000):
@@ -87,6 +89,8 @@ def vocabulary(chosen: DataFrame, size: int) -> list[str]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part), *(pa.array([c[t] for t in part], pa.int64()) for c in counts)], ["term", "n0", "n1"]
             )
+        del counts, every
+        release_memory()
 
     totals = chosen.agg(F.sum(F.when(F.col("y") > 0, 1).otherwise(0)), F.count("*")).first()
     if not totals[0] or totals[0] == totals[1]:
@@ -108,7 +112,7 @@ class _Terms:
 
     def __init__(self, terms: list[str]):
         self.number = {t: i for i, t in enumerate(terms)}
-        self.seen = _Generations(self._of_chunk, 200_000)
+        self.seen = _Generations(self._of_chunk, CHUNKS)
 
     def _of_chunk(self, chunk: str) -> tuple[int, ...]:
         number = self.number
@@ -126,9 +130,11 @@ def term_counts(rows: DataFrame, terms: list[str], *keep: str) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Terms(terms)
         for batch in batches:
-            found = [sorted(reader.counts(t).items()) for t in batch.column("text").to_pylist()]
+            found = [sorted(reader.counts(t.as_py()).items()) for t in batch.column("text")]
             columns = [pa.array([[x[i] for x in f] for f in found], pa.list_(pa.int32())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], [*keep, "terms", "counts"])
+        del reader
+        release_memory()
 
     kinds = dict(rows.dtypes)
     schema = "".join(f"{c} {kinds[c]}, " for c in keep) + "terms array<int>, counts array<int>"
@@ -271,7 +277,7 @@ def _score(index: Index, k: int, keep: str):
             for terms, counts in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
                 key = (tuple(terms), tuple(counts))
                 if key not in seen:
-                    if len(seen) > 50_000:
+                    if len(seen) > VECTORS:
                         seen.clear()
                     if terms:
                         share, near = index.vote(*key, k)
@@ -298,23 +304,25 @@ def without_toxic(
     counted = work.table(term_counts(rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), terms, "doc_id"), "counted")
     index = fit(work, docs, counted, chosen, terms, NEAREST)
     work.close()
-    schema = docs.schema
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kept(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         reader, seen = _Terms(terms), {}
-        for batch in batches:
+        for column in texts:
             keep = []
-            for text in batch.column("text").to_pylist():
-                found = sorted(reader.counts(text).items())
+            for text in column:
+                found = sorted(reader.counts(text.as_py()).items())
                 key = (tuple(t for t, _ in found), tuple(n for _, n in found))
                 if key not in seen:
-                    if len(seen) > 50_000:
+                    if len(seen) > VECTORS:
                         seen.clear()
                     seen[key] = index.calibrated(index.vote(*key, NEAREST)[0]) if found else index.empty
                 keep.append(seen[key] < threshold)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.array(keep, pa.bool_())
+        del reader, seen
+        release_memory()
 
-    return docs.mapInArrow(make, schema)
+    # Only texts go to Python and only verdicts come back.
+    return docs.where(F.arrow_udf(kept, "boolean")(F.col("text")))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

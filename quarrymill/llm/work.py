@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -142,6 +143,15 @@ def arrow_rows(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(run, schema)
 
 
+def release_memory() -> None:
+    """Gives a Python worker's free memory back at the end of a task: workers stay, and the next stage may be the JVM's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
 def crc32_of_id(column: str = "doc_id") -> F.Column:
     """crc32 of the id's decimal text."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
