@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from quarrymill.llm import kernels as K
 from quarrymill.llm import repeats as R
 from quarrymill.llm.groups import in_blocks, local_roots, with_smallest
-from quarrymill.llm.work import Work, components, table, whole_groups
+from quarrymill.llm.work import Work, components, table, tidy, whole_groups
 
 HASHES, BANDS, BITS = 128, 32, 4
 BUCKET_ROWS = 2048
@@ -105,7 +105,7 @@ def signatures(rows: DataFrame, width: int) -> DataFrame:
                     ["uid", "n", "key1", "key2", "bits", "bands"],
                 )
 
-    return rows.select("uid", "text").mapInArrow(make, SIGNATURE)
+    return rows.select("uid", "text").mapInArrow(tidy(make), SIGNATURE)
 
 
 def _roots_batch(ids: list[np.ndarray], roots: list[np.ndarray]) -> pa.RecordBatch:
@@ -139,7 +139,7 @@ def loose_links(buckets: DataFrame, percent: int) -> DataFrame:
                     roots.append(uid[a + root[off]])
             yield _roots_batch(ids, roots)
 
-    return buckets.repartition("task").sortWithinPartitions("task", "uid").mapInArrow(make, "a bigint, b bigint")
+    return buckets.repartition("task").sortWithinPartitions("task", "uid").mapInArrow(tidy(make), "a bigint, b bigint")
 
 
 def set_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -150,15 +150,16 @@ def set_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
         common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
         return np.array([0, 0 if 100 * common >= percent * (sizes.sum() - common) else 1])
     every = np.concatenate(sets)
-    owner = np.repeat(np.arange(m), sizes)
     order = np.argsort(every, kind="stable")
-    ranked = every[order]
-    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    every = every[order]
+    new = np.concatenate([[True], every[1:] != every[:-1]])
+    del every
     starts = np.flatnonzero(new)
-    counts = np.diff(np.append(starts, len(ranked)))
-    name = np.empty(len(every), np.int64)
-    name[order] = np.cumsum(new) - 1
-    owners = owner[order]
+    counts = np.diff(np.append(starts, len(new)))
+    name = np.empty(len(order), np.int32)
+    name[order] = np.cumsum(new, dtype=np.int32) - 1
+    owners = np.repeat(np.arange(m, dtype=np.int32), sizes)[order]
+    del order, new
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     root = np.arange(m)
     for u in range(m):
@@ -193,7 +194,7 @@ def confirmed_links(groups: DataFrame, width: int, percent: int) -> DataFrame:
                     roots.append(uid[a + root[off]])
             yield _roots_batch(ids, roots)
 
-    return groups.repartition("task").sortWithinPartitions("task", "uid").mapInArrow(make, "a bigint, b bigint")
+    return groups.repartition("task").sortWithinPartitions("task", "uid").mapInArrow(tidy(make), "a bigint, b bigint")
 
 
 def near_duplicates(work: Work, rows: DataFrame, width: int, percent: int, bucket_rows: int = BUCKET_ROWS,

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.llm import kernels as K
-from quarrymill.llm.work import Work
+from quarrymill.llm.work import Work, tidy
 
 OCCURRENCE = "fp bigint, block bigint, uid bigint, first bigint, n bigint"
 FOUND = "copy boolean, rep boolean, " + OCCURRENCE
@@ -81,7 +81,7 @@ def occurrences(rows: DataFrame, kind: Callable, window: int, run: int) -> DataF
                     [pa.array(x) for x in (fp, block, uids[part.row + owner], first, n)], ["fp", "block", "uid", "first", "n"]
                 )
 
-    return rows.select("uid", "text").mapInArrow(make, OCCURRENCE)
+    return rows.select("uid", "text").mapInArrow(tidy(make), OCCURRENCE)
 
 
 def ordered(found: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def classified(found: DataFrame) -> DataFrame:
         if last := reader.finish():
             yield pa.RecordBatch.from_arrays([pa.array(y) for y in last], names)
 
-    return found.mapInArrow(make, FOUND)
+    return found.mapInArrow(tidy(make), FOUND)
 
 
 def bodies(rows: DataFrame, reps: DataFrame, make: Callable, schema: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.llm import kernels as K
 from quarrymill.llm import repeats as R
-from quarrymill.llm.work import Work, table, whole_groups
+from quarrymill.llm.work import Work, table, tidy, whole_groups
 
 WINDOW, RUN = 200, 64
 SHARD_BYTES = 600_000
@@ -205,7 +205,7 @@ def compared(cut: DataFrame, window: int, shard: int = SHARD_BYTES) -> DataFrame
                 )
 
     dealt = cut.repartition("fp").sortWithinPartitions("fp")
-    return dealt.mapInArrow(make, "uid bigint, first bigint, n bigint")
+    return dealt.mapInArrow(tidy(make), "uid bigint, first bigint, n bigint")
 
 
 def repeated(work: Work, rows: DataFrame, window: int = WINDOW, run: int = RUN, variants: int = VARIANTS) -> DataFrame:
@@ -218,7 +218,7 @@ def repeated(work: Work, rows: DataFrame, window: int = WINDOW, run: int = RUN,
         marked = reps.join(hot, "fp", "left_semi").groupBy("uid").agg(F.collect_set("fp").alias("hot"))
         lists = lists.join(marked, "uid", "left")
     cut = rows.select("uid", "text").join(lists, "uid").mapInArrow(
-        _cut(window), "fp bigint, uid bigint, first bigint, n bigint, copy boolean, body binary"
+        tidy(_cut(window)), "fp bigint, uid bigint, first bigint, n bigint, copy boolean, body binary"
     )
     return R.intervals(found, work.table(compared(cut, window), "compared"))
 
@@ -271,7 +271,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(texts, pa.string())], ["rest", "text"])
 
     joined = rows.join(hits, "uid", "left").select("rest", "text", "hits")
-    changed = joined.mapInArrow(make, joined.select("rest", "text").schema)
+    changed = joined.mapInArrow(tidy(make), joined.select("rest", "text").schema)
     return changed.select(*("text" if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns))
 
 

@@ -27,6 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Bytes of an Arrow batch, where the session names no bound: texts vary a thousandfold in length, so that a bound on rows
+#: alone is none on memory.  A longer text is a batch of its own.
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 class Work:
     """Tables of one run of an operator.  They cut the lineage: a lost executor costs no more than the step it was at.
 
@@ -37,6 +42,8 @@ class Work:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        if spark.conf.get(_BATCH[0], None) is None:
+            spark.conf.set(*_BATCH)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -152,6 +159,16 @@ def release_memory() -> None:
         trim(0)
 
 
+def tidy(make: Callable) -> Callable:
+    """The same map over batches, which gives its memory back at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from make(batches)
+        release_memory()
+
+    return run
+
+
 def crc32_of_id(column: str = "doc_id") -> F.Column:
     """crc32 of the id's decimal text."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
