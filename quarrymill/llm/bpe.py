@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm.tokens import CHUNKS, Pretokenizer, _Generations, chunks, default_vocabulary, text_parts
-from quarrymill.llm.work import table
+from quarrymill.llm.work import WORKER_TABLES, table
 
 _LAST = 0x400
 _NEVER = 1 << 60
@@ -33,6 +33,7 @@ class PrefixEncoder:
     """Encoder of vocabularies with byte letters, word ends and the pre-tokenization of `word_bpe_49k.json`."""
 
     _by_path: dict[str, PrefixEncoder] = {}
+    WORKER_TABLES.append(_by_path)
 
     def __init__(self, path: str):
         import ahocorasick

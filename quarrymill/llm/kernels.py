@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = (1 << 18) - 1  # its prefix sums fill the tables of 2**18 powers
 
 _U = np.uint64
 _BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarrymill.llm.work import Work, shared_dir, table
+from quarrymill.llm.work import WORKER_TABLES, Work, shared_dir, table
 
 END_ID = 2
 CHUNKS = 250_000
@@ -135,6 +135,7 @@ class Encoder:
     """Little-endian unsigned 32-bit ids of texts, from the library's model for each pre-token not seen before."""
 
     _by_path: dict[str, Encoder] = {}
+    WORKER_TABLES.append(_by_path)
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

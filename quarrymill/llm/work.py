@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrymill.llm import kernels
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -150,8 +152,17 @@ def arrow_rows(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(run, schema)
 
 
+#: Tables that tasks leave in their Python worker for later ones.
+WORKER_TABLES: list[dict] = [kernels._powers]
+
+
 def release_memory() -> None:
-    """Gives a Python worker's free memory back at the end of a task: workers stay, and the next stage may be the JVM's."""
+    """Gives a Python worker's free memory back at the end of a task: workers stay, and the next stage may be the JVM's.
+
+    Tables that earlier tasks left, such as a tokenizer's, go too.
+    """
+    for left in WORKER_TABLES:
+        left.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
