@@ -128,7 +128,7 @@ def byte_windows(data: np.ndarray, k: int) -> np.ndarray:
     return mix((sums[k:] - sums[:-k]) * powers(_BASE, len(sums))[1][: len(data) - k + 1])
 
 
-def minimizers(hashes: np.ndarray, width: int) -> np.ndarray:
+def minimizers(hashes: np.ndarray, width: int, step: int = 1 << 23) -> np.ndarray:
     """For each window of `width` consecutive hashes the place of its smallest, the leftmost among equal ones.
 
     Hashes count by their upper 40 bits, so that a window's choice depends on its content alone.
@@ -136,9 +136,8 @@ def minimizers(hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    step = 1 << 23
-    if len(hashes) > step:  # places have 24 bits; longer rows are done in overlapping parts
-        return np.concatenate([minimizers(hashes[i : i + step + width - 1], width) + i for i in range(0, n, step)])
+    if n > step:  # places have 24 bits; longer rows are done in overlapping parts of `step` windows
+        return np.concatenate([minimizers(hashes[i : i + step + width - 1], width, step) + i for i in range(0, n, step)])
     low = _U((1 << 24) - 1)
     best, reach = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), 1
     while reach * 2 <= width:

@@ -156,6 +156,13 @@ def test_kernels_hash_by_content():
         assert K.minimizers(h, width).tolist() == [i + int(np.argmin(h[i : i + width] >> np.uint64(24))) for i in range(200 - width + 1)]
 
 
+def test_long_rows_are_done_in_parts():
+    h = np.random.default_rng(3).integers(0, 1 << 63, 300, dtype=np.uint64)
+    for step in (16, 17, 100, 299):
+        for width in (1, 4, 7):
+            assert K.minimizers(h, width, step).tolist() == K.minimizers(h, width).tolist()
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs, labels = labelled_docs(spark)
     docs = docs.where("doc_id is not null").union(documents(spark).select("doc_id", "text", "lang", "source", "n_chars").withColumn("doc_id", F.col("doc_id") + 1000))
