@@ -1,17 +1,18 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are lower-case words and their first letters (four to eight, as `stem*`); those that tell toxic examples from
-others best, and better than chance, make the vocabulary.  Document frequencies are counted over all documents.  Examples with equal vectors are
-one entry with its counts of labels.  The index has, for each term, the entries that hold it in order, cut into blocks
-with their largest weight: a block whose bound is below the k-th best cosine so far holds none of the k nearest and is
-skipped, so that the k nearest are exact.  Their votes are weighted by distance and calibrated on the examples, each
-without its own vote; the nearest entries are the evidence.
+Terms are all lower-case words of the examples, whatever their number, frequency or labels.  A term's weight is its TF-IDF
+times how well it tells toxic examples from others (the log likelihood ratio, plus FLOOR); none is left out.  Document
+frequencies are counted over all documents.  Examples with equal vectors are one entry with its counts of labels.  The
+index has, for each term, the entries that hold it in order, cut into blocks with their largest weight: a block whose
+bound is below the k-th best cosine so far holds none of the k nearest and is skipped, so that the k nearest are exact.
+Terms are numbered by likelihood ratio, so that entries with the same telling terms lie side by side.  The nearest's votes
+are weighted by distance and calibrated on the examples, each without its own vote; the nearest entries are the evidence.
 
 At most EXAMPLES labelled documents are used, chosen by a hash of their ids; of those that share their smallest
 shingle hash (copies, near copies) and label, one.
 
-Edge cases: a null or empty text, like any without a term of the vocabulary, gets the rate of examples without one; so
-does every text if there are no toxic examples.  Ties of cosine go to the earlier entry.  Rows with equal or null ids
+Edge cases: a null or empty text, like any without a word of the examples, gets the rate of examples without one; so
+does every text if there are no toxic examples or no others.  Ties of cosine go to the earlier entry.  Rows with equal or null ids
 are scored each by itself; an empty table gives none.
 """
 
@@ -19,35 +20,34 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm import kernels as K
 from quarrymill.llm.labelled import held_out, isotonic, training_sample
+from quarrymill.llm.repeats import ranges
 from quarrymill.llm.tokens import _Generations
-from quarrymill.llm.work import Work, release_memory, table
+from quarrymill.llm.work import Work, release_memory, table, tidy
 
 EXAMPLES = 20_000
-TERMS = 256
 NEAREST = 25
-#: A log likelihood ratio that, among a million terms, chance reaches once in twenty times.
-LEAST_GAIN = 15.0
-BLOCK = 32
+#: Added to every term's log likelihood ratio, so that none weighs nothing.
+FLOOR = 0.01
+BLOCK = 128
+#: Blocks that are read before the first look at the k-th best; each further step reads twice as many.
+FIRST_BLOCKS = 32
+CALIBRATION_TASKS = 32
 #: Entries of a worker's caches: words' terms, vectors' scores.
-CHUNKS, VECTORS = 50_000, 10_000
+CHUNKS, VECTORS = 50_000, 2_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def terms_of(word: str) -> list[str]:
-    """A word and its beginnings."""
-    return [word, *(word[:n] + "*" for n in range(4, 9) if n <= len(word))]
-
-
 def _shingle_mark(texts: pa.Array) -> np.ndarray:
     """The smallest hash of each text's runs of eight words, or of the whole of shorter ones."""
     out = []
@@ -74,15 +74,14 @@ def examples(work: Work, docs: DataFrame, labels: DataFrame, label: str, out: F.
     return work.table(marked.join(F.broadcast(first.select("doc_id")), "doc_id", "left_semi"), "examples")
 
 
-def vocabulary(chosen: DataFrame, size: int) -> list[str]:
-    """Terms of the largest likelihood ratios among those in a larger share of toxic examples than of others."""
+def vocabulary(chosen: DataFrame) -> tuple[list[str], np.ndarray]:
+    """All terms of the examples and the log likelihood ratios of their labels, the largest first; none without two labels."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, y in zip(batch.column("text"), batch.column("y").to_pylist()):
-                words = set(_LETTERS.findall((text.as_py() or "").lower()))
-                counts[1 if y else 0].update({t for w in words for t in terms_of(w)})
+                counts[1 if y else 0].update(set(_LETTERS.findall((text.as_py() or "").lower())))
         every = list(counts[0].keys() | counts[1].keys())
         for i in range(0, len(every), 20_000):
             part = every[i : i + 20_000]
@@ -94,21 +93,19 @@ def vocabulary(chosen: DataFrame, size: int) -> list[str]:
 
     totals = chosen.agg(F.sum(F.when(F.col("y") > 0, 1).otherwise(0)), F.count("*")).first()
     if not totals[0] or totals[0] == totals[1]:
-        return []
+        return [], np.zeros(0)
     n1, n0 = float(totals[0]), float(totals[1] - totals[0])
     counted = chosen.select("text", "y").mapInArrow(make, "term string, n0 bigint, n1 bigint")
-    counted = counted.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    rate = (F.col("n0") + F.col("n1")) / (n0 + n1)
-    gain = F.col("n1") * F.log(F.col("n1") / n1 / rate) + F.when(
-        F.col("n0") > 0, F.col("n0") * F.log(F.col("n0") / n0 / rate)
-    ).otherwise(0.0)
-    clear = F.col("n1") / n1 > 3 * F.col("n0") / n0
-    found = counted.where("n1 > 0").where(clear).withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "term").limit(size)
-    return [r.term for r in found.collect()]
+    found = counted.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).orderBy("term").toArrow()
+    with0, with1 = (found.column(c).to_numpy().astype(float) for c in ("n0", "n1"))
+    rate = (with0 + with1) / (n0 + n1)
+    gain = sum(x * np.log(np.where(x > 0, x, 1) / n / np.where(x > 0, rate, 1 / n)) for x, n in ((with0, n0), (with1, n1)))
+    order = np.argsort(-gain, kind="stable")
+    return found.column("term").take(pa.array(order)).to_pylist(), np.maximum(gain[order], 0.0)
 
 
 class _Terms:
-    """Counts of the vocabulary's terms in a text."""
+    """The terms of a text that examples have."""
 
     def __init__(self, terms: list[str]):
         self.number = {t: i for i, t in enumerate(terms)}
@@ -116,106 +113,131 @@ class _Terms:
 
     def _of_chunk(self, chunk: str) -> tuple[int, ...]:
         number = self.number
-        return tuple(number[t] for w in _LETTERS.findall(chunk) for t in terms_of(w) if t in number)
+        return tuple(number[w] for w in _LETTERS.findall(chunk) if w in number)
 
-    def counts(self, text: str | None) -> dict[int, int]:
-        found = Counter(i for t in map(self.seen.__getitem__, (text or "").lower().split()) if t for i in t)
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Terms in order, and their counts."""
+        found = [i for t in map(self.seen.__getitem__, (text or "").lower().split()) for i in t]
         self.seen.turn()
-        return found
+        return np.unique(np.array(found, np.int32), return_counts=True)
 
 
-def term_counts(rows: DataFrame, terms: list[str], *keep: str) -> DataFrame:
-    """The columns to keep, and the text's terms and their counts, in the terms' order."""
+def term_counts(rows: DataFrame, terms: Broadcast) -> DataFrame:
+    """doc_id and y, and the text's terms and their counts, in the terms' order."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Terms(terms)
+        reader = _Terms(terms.value)
         for batch in batches:
-            found = [sorted(reader.counts(t.as_py()).items()) for t in batch.column("text")]
-            columns = [pa.array([[x[i] for x in f] for f in found], pa.list_(pa.int32())) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], [*keep, "terms", "counts"])
+            found = [reader.counts(t.as_py()) for t in batch.column("text")]
+            columns = [pa.array([f[i].astype(np.int32) for f in found], pa.list_(pa.int32())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), *columns], ["doc_id", "y", "terms", "counts"])
         del reader
         release_memory()
 
-    kinds = dict(rows.dtypes)
-    schema = "".join(f"{c} {kinds[c]}, " for c in keep) + "terms array<int>, counts array<int>"
-    return rows.select(*keep, "text").mapInArrow(make, schema)
+    return rows.select("doc_id", "y", "text").mapInArrow(make, "doc_id bigint, y int, terms array<int>, counts array<int>")
+
+
+def document_frequencies(rows: DataFrame, terms: Broadcast) -> np.ndarray:
+    """How many texts have each term; a task sends one row for each term that it met."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _Terms(terms.value)
+        many = np.zeros(len(reader.number), np.int64)
+        for batch in batches:
+            for text in batch.column("text"):
+                many[reader.counts(text.as_py())[0]] += 1
+        met = np.flatnonzero(many)
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(many[met])], ["t", "n"])
+        del reader, many
+        release_memory()
+
+    found = rows.select("text").mapInArrow(make, "t int, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(terms.value))
+    out[found.column("t").to_numpy()] = found.column("n").to_numpy()
+    return out
 
 
 @dataclass
 class Index:
     """Entries (distinct vectors of examples) by term, in blocks with their largest weights."""
 
-    idf: np.ndarray
+    scale: np.ndarray  # of each term's weight
     votes: np.ndarray  # labels 1 and all, by entry
-    evidence: list[int]  # a document of each entry
-    lists: list[tuple[np.ndarray, np.ndarray]]  # entries and weights, by term
-    starts: list[np.ndarray]  # of the blocks in each list
-    most: np.ndarray  # the largest weight, by term and block
+    evidence: np.ndarray  # a document of each entry
+    entry: np.ndarray  # and `weight`: by term, then in order
+    weight: np.ndarray
+    block: np.ndarray  # blocks that hold a term, by term; with the largest weight and the first place in `entry`
+    most: np.ndarray
+    first: np.ndarray
+    by_term: np.ndarray  # the first place in `block`
     empty: float  # the rate of examples without a term
     base: float
-    steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
 
     @staticmethod
-    def vector(idf: np.ndarray, terms, counts) -> np.ndarray:
-        w = (1 + np.log(np.asarray(counts, float))) * idf[np.asarray(terms, np.int64)]
+    def vector(scale: np.ndarray, terms, counts) -> np.ndarray:
+        w = (1 + np.log(np.asarray(counts, float))) * scale[np.asarray(terms, np.int64)]
         return w / np.sqrt(w @ w)
 
     @classmethod
-    def build(cls, rows: list[tuple[int, int, tuple, tuple]], idf: np.ndarray) -> Index:
+    def build(cls, rows: Iterable[tuple], scale: np.ndarray) -> Index:
         """Of (doc_id, y, terms, counts)."""
-        base = (sum(y for _, y, _, _ in rows) + 0.5) / (len(rows) + 1)
-        bare = [y for _, y, terms, _ in rows if not terms]
-        entries: dict[tuple, list[int]] = {}
-        for doc, y, terms, counts in sorted(rows, key=lambda r: (r[2], r[3], r[0])):
-            if terms:
-                e = entries.setdefault((terms, counts), [0, 0, doc])
-                e[0] += y
-                e[1] += 1
-        lists: list[list[tuple[int, float]]] = [[] for _ in idf]
-        for i, (terms, counts) in enumerate(entries):
-            for t, w in zip(terms, cls.vector(idf, terms, counts).tolist()):
-                lists[t].append((i, w))
-        n_blocks = -(-len(entries) // BLOCK)
-        arrays, starts, most = [], [], np.zeros((len(idf), n_blocks))
-        for t, found in enumerate(lists):
-            at = np.array([i for i, _ in found], np.int64)
-            weight = np.array([w for _, w in found])
-            np.maximum.at(most[t], at // BLOCK, weight)
-            arrays.append((at, weight))
-            starts.append(np.searchsorted(at, np.arange(n_blocks + 1) * BLOCK))
-        votes = np.array([e[:2] for e in entries.values()], float).reshape(-1, 2)
+        n = positive = n_bare = positive_bare = 0
+        groups: dict[tuple[bytes, bytes], list[int]] = {}  # big-endian numbers have the order of their bytes
+        for doc, y, terms, counts in rows:
+            n, positive = n + 1, positive + y
+            if not len(terms):
+                n_bare, positive_bare = n_bare + 1, positive_bare + y
+                continue
+            e = groups.setdefault(tuple(np.asarray(x, ">i4").tobytes() for x in (terms, counts)), [0, 0, doc])
+            e[:] = e[0] + y, e[1] + 1, min(e[2], doc)
+        base = (positive + 0.5) / (n + 1)
+        keys = sorted(groups)
+        entries = [groups[k] for k in keys]
+        of = [[np.frombuffer(x, ">i4").astype(np.int32) for x in key] for key in keys]
+        none = [np.zeros(0, np.int32)]
+        term = np.concatenate([t for t, _ in of] or none)
+        weight = np.concatenate([cls.vector(scale, t, c) for t, c in of] or [np.zeros(0)])
+        entry = np.repeat(np.arange(len(of), dtype=np.int32), [len(t) for t, _ in of])
+        order = np.argsort(term, kind="stable")
+        term, entry, weight = term[order], entry[order], weight[order]
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (entry[1:] // BLOCK != entry[:-1] // BLOCK)
+        first = np.flatnonzero(new)
+        most = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
+        kind = np.min_scalar_type(len(of))
         return cls(
-            idf, votes, [e[2] for e in entries.values()], arrays, starts, most,
-            (sum(bare) + base) / (len(bare) + 1), base,
+            scale, np.array([e[:2] for e in entries], float).reshape(-1, 2), np.array([e[2] for e in entries], np.int64), entry.astype(kind), weight,
+            (entry[first] // BLOCK).astype(kind), np.nextafter(most.astype(np.float32), np.float32(2)), np.append(first, len(term)).astype(np.int32),
+            np.searchsorted(term[first], np.arange(len(scale) + 1)).astype(np.int32), (positive_bare + base) / (n_bare + 1), base,
         )
 
     def nearest(self, terms, counts, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k entries of the largest cosines above zero, and these; earlier entries first among equal ones."""
-        q = self.vector(self.idf, terms, counts)
-        bound = q @ self.most[list(terms)]
+        terms = np.asarray(terms, np.int64)
+        q = self.vector(self.scale, terms, counts)
+        blocks = self.by_term[terms + 1] - self.by_term[terms]
+        place, q = ranges(self.by_term[terms], blocks), np.repeat(q, blocks)
+        block, n = self.block[place], len(self.votes)
+        bound = np.bincount(block, q * self.most[place], -(-n // BLOCK)) + 1e-9
+        start, size = self.first[place], self.first[place + 1] - self.first[place]
         order = np.argsort(-bound, kind="stable")
-        ids, cosines, worst, held = [], [], -1.0, 0
-        for b in order[bound[order] > 0].tolist():
-            if held >= k and bound[b] < worst - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms, q.tolist()):
-                x, y = self.starts[t][b], self.starts[t][b + 1]
-                if x < y:
-                    at, weight = self.lists[t]
-                    score[at[x:y] - b * BLOCK] += w * weight[x:y]
-            on = np.flatnonzero(score > max(0.0, worst - 1e-12 if held >= k else 0.0))
-            ids.append(on + b * BLOCK)
-            cosines.append(score[on])
-            held += len(on)
-            if held >= k:
-                every = np.concatenate(cosines)
-                worst = np.partition(every, len(every) - k)[len(every) - k]
-        if not ids:
-            return np.zeros(0, np.int64), np.zeros(0)
-        found, cos = np.concatenate(ids), np.concatenate(cosines)
-        first = np.lexsort((found, -np.round(cos, 12)))[:k]
-        return found[first], cos[first]
+        order = order[bound[order] > 1e-9]
+        ids, cosines, least, at, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, FIRST_BLOCKS
+        while at < len(order) and (len(ids) < k or bound[order[at]] >= least):
+            part = order[at : at + step]
+            now = np.zeros(len(bound), bool)
+            now[part[bound[part] >= least]] = True
+            on = np.flatnonzero(now[block])
+            held = ranges(start[on], size[on])
+            score = np.bincount(self.entry[held], np.repeat(q[on], size[on]) * self.weight[held], n)
+            found = np.flatnonzero(score > least)
+            ids, cosines = np.concatenate([ids, found]), np.concatenate([cosines, score[found]])
+            if len(ids) >= k:
+                least = max(0.0, np.partition(cosines, len(cosines) - k)[len(cosines) - k] - 1e-11)
+                ids, cosines = ids[cosines > least], cosines[cosines > least]
+            at, step = at + step, 2 * step
+        first = np.lexsort((ids, -np.round(cosines, 12)))[:k]
+        return ids[first], cosines[first]
 
     def vote(self, terms, counts, k: int, less: tuple[int, int] = (0, 0)) -> tuple[float, list[int]]:
         """The share of votes for label 1, weighted by distance, and the nearest entries' documents."""
@@ -225,72 +247,83 @@ class Index:
         if less[1] and len(found) and cos[0] > 1 - 1e-9:
             votes[0] -= less
         share = (weight @ votes[:, 0] + self.base) / (weight @ votes[:, 1] + 1) if len(found) else self.empty
-        return float(share), [self.evidence[i] for i in found[:3].tolist()]
+        return float(share), self.evidence[found[:3]].tolist()
+
+
+def fit(docs: DataFrame, chosen: DataFrame, terms: Broadcast, gain: np.ndarray, k: int) -> tuple[Broadcast, tuple | None]:
+    """The index of the examples, sent to workers once, and its calibration; document frequencies are of all documents."""
+    scale = (np.log((docs.count() + 1) / (document_frequencies(docs, terms) + 1)) + 1) * (gain + FLOOR) if len(gain) else gain
+    counted = term_counts(chosen, terms)
+    rows = counted.toArrow()
+    index = Index.build(
+        (tuple(x) for b in rows.to_batches() for x in zip(*(c.to_pylist() for c in b.columns[:2]), *(_arrays(c) for c in b.columns[2:]))), scale
+    )
+    del rows
+    some = len(index.votes) > 0
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    del index
 
-    def calibrate(self, rows: list[tuple[int, int, tuple, tuple]], k: int) -> None:
-        groups = Counter((terms, counts, y) for _, y, terms, counts in rows if terms)
-        x, positive, total = [], [], []
-        for (terms, counts, y), n in groups.items():
-            x.append(self.vote(terms, counts, k, (y, 1))[0])
-            positive.append(n * y)
-            total.append(n)
-        if x:
-            self.steps = isotonic(np.array(x), np.array(positive, float), np.array(total, float))
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            index, y = shared.value, batch.column("y").to_pylist()
+            found = [(index.vote(t, c, k, (v, 1))[0], v) for v, t, c in zip(y, *map(_arrays, batch.columns[2:])) if len(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.float64(), pa.int32()))], ["share", "y"])
+
+    if not some:
+        return shared, None
+    votes = counted.repartition(CALIBRATION_TASKS).mapInArrow(tidy(make), "share double, y int").toArrow()
+    y = votes.column("y").to_numpy().astype(float)
+    return shared, isotonic(votes.column("share").to_numpy(), y, np.ones(len(y)))
+
+
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    """The lists of a column."""
+    bounds = column.offsets.to_numpy()
+    return np.split(column.values.to_numpy()[bounds[0] : bounds[-1]], bounds[1:-1] - bounds[0]) if len(column) else []
 
-    def calibrated(self, share: float) -> float:
-        return float(np.interp(share, *self.steps))
 
+class _Scores:
+    """Score and evidence of a text."""
 
-def fit(work: Work, docs: DataFrame, counted: DataFrame, chosen: DataFrame, terms: list[str], k: int) -> Index:
-    """The index of the examples; document frequencies are of all documents, by one row per term."""
-    n = counted.count()
-    df = {r.t: r.n for r in counted.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
-    idf = np.array([np.log((n + 1) / (df.get(i, 0) + 1)) + 1 for i in range(len(terms))])
-    rows = [(r.doc_id, int(r.y), tuple(r.terms), tuple(r.counts)) for r in term_counts(chosen, terms, "doc_id", "y").collect()]
-    index = Index.build(rows, idf)
-    index.calibrate(rows, k)
-    return index
+    def __init__(self, index: Index, steps: tuple | None, terms: list[str], k: int):
+        self.index, self.steps, self.k, self.reader, self.seen = index, steps, k, _Terms(terms), {}
+
+    def of(self, text: str | None) -> tuple[float, list[int]]:
+        terms, counts = self.reader.counts(text)
+        if not len(terms):
+            return self.index.empty, []
+        key = (terms.tobytes(), counts.tobytes())
+        if key not in self.seen:
+            if len(self.seen) > VECTORS:
+                self.seen.clear()
+            share, near = self.index.vote(terms, counts, self.k)
+            self.seen[key] = (float(np.interp(share, *self.steps)), near)
+        return self.seen[key]
 
 
 def scored(
     work: Work, docs: DataFrame, labels: DataFrame, label: str = "toxic", out: F.Column | None = None,
-    bound: int = EXAMPLES, size: int = TERMS, k: int = NEAREST,
+    bound: int = EXAMPLES, k: int = NEAREST,
 ) -> DataFrame:
-    """doc_id, key (the row's place), score and evidence (documents of the nearest entries) for each row of docs."""
+    """doc_id, score and evidence (documents of the nearest entries) for each row of docs."""
     out = F.lit(False) if out is None else out
     chosen = examples(work, docs, labels, label, out, bound)
-    terms = vocabulary(chosen, size)
+    found, gain = vocabulary(chosen)
+    terms = docs.sparkSession.sparkContext.broadcast(found)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    counted = work.table(term_counts(rows, terms, "doc_id"), "counted")
-    index = fit(work, docs, counted, chosen, terms, k)
+    index, steps = fit(rows, chosen, terms, gain, k)
     work.drop("sample", "examples")
-    schema = "doc_id bigint, score double, evidence array<bigint>"
-
-    return counted.mapInArrow(_score(index, k, "doc_id"), schema)
 
-
-def _score(index: Index, k: int, keep: str):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple, tuple[float, list[int]]] = {}
+        reader = _Scores(index.value, steps, terms.value, k)
         for batch in batches:
-            found = []
-            for terms, counts in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
-                key = (tuple(terms), tuple(counts))
-                if key not in seen:
-                    if len(seen) > VECTORS:
-                        seen.clear()
-                    if terms:
-                        share, near = index.vote(*key, k)
-                        seen[key] = (index.calibrated(share), near)
-                    else:
-                        seen[key] = (index.empty, [])
-                found.append(seen[key])
+            found = [reader.of(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(keep), pa.array([s for s, _ in found], pa.float64()),
-                 pa.array([e for _, e in found], pa.list_(pa.int64()))], [keep, "score", "evidence"]
+                [batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()),
+                 pa.array([e for _, e in found], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"]
             )
 
-    return make
+    return rows.mapInArrow(tidy(make), "doc_id bigint, score double, evidence array<bigint>")
 
 
 def without_toxic(
@@ -299,26 +332,16 @@ def without_toxic(
     """The documents scored below the threshold, with all their columns, by every label; texts are not shuffled."""
     work = Work(docs.sparkSession, "toxicity")
     chosen = examples(work, docs, labels, label, F.lit(False), bound)
-    terms = vocabulary(chosen, TERMS)
-    rows = docs.select("doc_id", "text")
-    counted = work.table(term_counts(rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), terms, "doc_id"), "counted")
-    index = fit(work, docs, counted, chosen, terms, NEAREST)
+    found, gain = vocabulary(chosen)
+    terms = docs.sparkSession.sparkContext.broadcast(found)
+    index, steps = fit(docs, chosen, terms, gain, NEAREST)
     work.close()
 
     def kept(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        reader, seen = _Terms(terms), {}
+        reader = _Scores(index.value, steps, terms.value, NEAREST)
         for column in texts:
-            keep = []
-            for text in column:
-                found = sorted(reader.counts(text.as_py()).items())
-                key = (tuple(t for t, _ in found), tuple(n for _, n in found))
-                if key not in seen:
-                    if len(seen) > VECTORS:
-                        seen.clear()
-                    seen[key] = index.calibrated(index.vote(*key, NEAREST)[0]) if found else index.empty
-                keep.append(seen[key] < threshold)
-            yield pa.array(keep, pa.bool_())
-        del reader, seen
+            yield pa.array([reader.of(text.as_py())[0] < threshold for text in column], pa.bool_())
+        del reader
         release_memory()
 
     # Only texts go to Python and only verdicts come back.

@@ -77,6 +77,16 @@ def test_toxicity(spark):
     assert {r.doc_id for r in kept.collect() if r.doc_id is not None and r.doc_id < 600 and r.doc_id != 5} == {i for i in range(600) if i % 5}
 
 
+def test_toxicity_of_few_labels_and_all_words(spark):
+    rows = [(i, " ".join([*words(i, 20), "scum" if i % 8 == 0 else "mild"]), "en", "s", 1) for i in range(96)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = docs.where("doc_id < 64").selectExpr("doc_id", "1 as quality", "cast(doc_id % 8 = 0 as int) as toxic")
+    terms, _ = toxicity.vocabulary(docs.join(labels, "doc_id").selectExpr("text", "toxic as y"))
+    assert set(terms) == {w for i, text, *_ in rows if i < 64 for w in text.split()}
+    found = toxicity.scored(Work(spark, "t"), docs, labels).collect()
+    assert all(r.evidence and (r.score >= 0.5) == (r.doc_id % 8 == 0) for r in found)
+
+
 def test_nearest_examples_are_exact():
     r = np.random.default_rng(1)
     rows = []
