@@ -28,6 +28,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: ASCII other than letters.
+NO_LETTER = np.zeros(256, bool)
+NO_LETTER[:128] = [not chr(b).isalpha() for b in range(128)]
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -75,12 +78,12 @@ class Slice:
     def __init__(self, row: int, data: np.ndarray, lo: np.ndarray, hi: np.ndarray):
         self.row, self.n, self.data, self.lo, self.hi = row, len(lo), data, lo, hi
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Starts and ends of the words, and for each document the range of its words."""
+    def words(self, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the words, and for each document the range of its words; `between` marks separating bytes."""
         n = len(self.data)
         inside = np.empty(n + 2, bool)
         inside[0] = inside[-1] = False
-        np.logical_not(_SPACE[self.data], out=inside[1:-1])
+        np.logical_not(between[self.data], out=inside[1:-1])
         begins = inside[1:-1] & ~inside[:-2]
         stops = inside[1:-1] & ~inside[2:]
         edge = self.lo[(self.lo > 0) & (self.lo < n)]
@@ -146,3 +149,32 @@ def minimizers(hashes: np.ndarray, width: int, step: int = 1 << 23) -> np.ndarra
     if reach < width:
         best = np.minimum(best[: n], best[width - reach : width - reach + n])
     return (best[:n] & low).astype(np.int64)
+
+
+class Numbering:
+    """Numbers of distinct 64-bit hashes, found many at a time: a few tables of slots, each for what met another there."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.slots = keys, []
+        self.bits = max(8, len(keys).bit_length() + 1)
+        rest = np.arange(len(keys), dtype=np.int32)
+        while len(rest):
+            slots, at = np.full(1 << self.bits, -1, np.int32), self._at(keys[rest], len(self.slots))
+            slots[at] = rest
+            self.slots.append(slots)
+            rest = rest[slots[at] != rest]
+
+    def _at(self, keys: np.ndarray, level: int) -> np.ndarray:
+        return mix(keys + _U(level)) >> _U(64 - self.bits)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' numbers, -1 for those that have none."""
+        out, todo = np.full(len(keys), -1, np.int32), np.arange(len(keys))
+        for level, slots in enumerate(self.slots):
+            number = slots[self._at(keys[todo], level)]
+            there = number >= 0
+            todo, number = todo[there], number[there]
+            hit = self.keys[number] == keys[todo]
+            out[todo[hit]] = number[hit]
+            todo = todo[~hit]
+        return out

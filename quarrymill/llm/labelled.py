@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +14,15 @@ def held_out(modulus: int, remainder: int, column: str = "doc_id") -> F.Column:
     return crc32_of_id(column) % modulus == remainder
 
 
+#: Bytes of text that examples have in all, at most; what is learned from them is sent to workers.
+EXAMPLE_BYTES = 48 << 20
+
+
 def training_sample(
-    docs: DataFrame, labels: DataFrame, label: str, out: F.Column, bound: int
+    docs: DataFrame, labels: DataFrame, label: str, out: F.Column, bound: int, size: int = EXAMPLE_BYTES
 ) -> DataFrame:
-    """doc_id, text and y of at most `bound` labelled documents, chosen by a hash of their ids; none that is held out.
+    """doc_id, text and y of labelled documents, in the order of a hash of their ids, as many as fit both bounds: at most
+    `bound` ids, and texts of at most `size` bytes; none that is held out.
 
     An id that has several labels counts as labelled 1 if one of them is 1.
     """
@@ -24,7 +30,15 @@ def training_sample(
     known = known.where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~out)
     chosen = known.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return texts.join(F.broadcast(chosen), "doc_id")  # `bound` rows of two numbers at most
+    joined = texts.join(F.broadcast(chosen), "doc_id")  # `bound` rows of two numbers at most
+    sizes = joined.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n"))
+    sizes = sizes.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()  # as many
+    total = np.cumsum(sizes.column("n").to_numpy())
+    if not len(total) or total[-1] <= size:
+        return joined
+    over = sizes.column("doc_id").to_numpy()[total > size]
+    gone = docs.sparkSession.createDataFrame(pa.table({"doc_id": over}))
+    return joined.join(F.broadcast(gone), "doc_id", "left_anti")
 
 
 def platt(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:

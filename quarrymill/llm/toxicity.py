@@ -1,30 +1,36 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are all lower-case words of the examples, whatever their number, frequency or labels.  A term's weight is its TF-IDF
-times how well it tells toxic examples from others (the log likelihood ratio, plus FLOOR); none is left out.  Document
-frequencies are counted over all documents.  Examples with equal vectors are one entry with its counts of labels.  The
-index has, for each term, the entries that hold it in order, cut into blocks with their largest weight: a block whose
-bound is below the k-th best cosine so far holds none of the k nearest and is skipped, so that the k nearest are exact.
-Terms are numbered by likelihood ratio, so that entries with the same telling terms lie side by side.  The nearest's votes
-are weighted by distance and calibrated on the examples, each without its own vote; the nearest entries are the evidence.
-
-At most EXAMPLES labelled documents are used, chosen by a hash of their ids; of those that share their smallest
-shingle hash (copies, near copies) and label, one.
-
-Edge cases: a null or empty text, like any without a word of the examples, gets the rate of examples without one; so
-does every text if there are no toxic examples or no others.  Ties of cosine go to the earlier entry.  Rows with equal or null ids
-are scored each by itself; an empty table gives none.
+Terms are all lower-case words of the examples and the words' beginnings of STEM letters (so that an inflected form meets
+its kin), whatever their number, frequency or labels; a word is a run of letters, and of all characters beyond ASCII, and
+terms are known by 64-bit hashes.  A term's weight is its TF-IDF times how well it tells toxic
+examples from others (the log likelihood ratio of its counts, plus FLOOR); none is left out.  Document frequencies are
+counted over all documents.  Examples with equal vectors are one entry, with one vote that is their share of label 1.
+
+The index keeps, for each term, the entries that hold it in order, cut into blocks with their largest weight.  Blocks of
+the DENSE terms with most entries hold a weight for each entry of the block, so that a block is scored by one product for
+many texts; all other terms list the entries that hold them.  Texts are searched for many at a time: the blocks of the
+largest bounds give each a first k-th best cosine, and of the other blocks those whose bound is below it are skipped, as
+they hold none of the k nearest.  What comes near the k-th best is summed up again in double precision, so that the k
+nearest are exact.  Votes are weighted by distance and calibrated on the examples, each without its own vote and those
+of entries nearer than KIN; the nearest entries are the evidence.
+
+At most EXAMPLES labelled documents with EXAMPLE_BYTES of text in all are used, chosen by a hash of their ids.
+
+Edge cases: a null or empty text, like any without a term of the examples, gets the rate of examples without one; so
+does every text if there are no toxic examples or no others.  Ties of cosine go to the earlier entry.  A label that is
+null is none; an id with several labels is toxic if one says so.  Rows with equal or null ids are scored each by itself;
+very long texts are one row like others; other columns do not matter, `without_toxic` returns them as they are; an empty
+table gives none.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,106 +38,96 @@ from pyspark.sql import functions as F
 from quarrymill.llm import kernels as K
 from quarrymill.llm.labelled import held_out, isotonic, training_sample
 from quarrymill.llm.repeats import ranges
-from quarrymill.llm.tokens import _Generations
 from quarrymill.llm.work import Work, release_memory, table, tidy
 
-EXAMPLES = 20_000
+EXAMPLES = 4_000
+EXAMPLE_BYTES = 16 << 20
 NEAREST = 25
+#: Letters of the beginnings of words that are terms too.
+STEM = 6
 #: Added to every term's log likelihood ratio, so that none weighs nothing.
 FLOOR = 0.01
-BLOCK = 128
-#: Blocks that are read before the first look at the k-th best; each further step reads twice as many.
-FIRST_BLOCKS = 32
+BLOCK = 64
+#: Terms whose blocks hold all entries' weights; how the index is laid out, no matter for results.
+DENSE = 1536
+#: Blocks of the largest bounds that are read before the others are held against the k-th best.
+FIRST_BLOCKS = 4
+#: Texts that are searched for at a time.
+TOGETHER = 256
+#: Cosine from which examples are copies of one another, which do not vote on each other in the calibration.
+KIN = 0.9
 CALIBRATION_TASKS = 32
-#: Entries of a worker's caches: words' terms, vectors' scores.
-CHUNKS, VECTORS = 50_000, 2_000
-_LETTERS = re.compile(r"[^\W\d_]+")
+_OF_STEM = np.uint64(0x2545F4914F6CDD1D)
 
 
-def _shingle_mark(texts: pa.Array) -> np.ndarray:
-    """The smallest hash of each text's runs of eight words, or of the whole of shorter ones."""
-    out = []
-    for part in K.slices(texts):
-        starts, ends, lo, hi = part.words()
-        hashes = part.word_hashes(starts, ends)
-        runs, sums = K.word_windows(hashes, 8), K.prefix(hashes, K._WORD_BASE)
-        for a, b in zip(lo.tolist(), hi.tolist()):
-            out.append(runs[a : b - 7].min() if b - a >= 8 else K.spans(sums, K._WORD_BASE, np.array([a]), np.array([b]))[0])
-    return np.array(out, np.uint64).view(np.int64)
+def _hashed(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """By slices of the texts: the first text and their number, and of each term the text within the slice and the hash."""
+    for part in K.slices(pc.utf8_lower(texts)):
+        starts, ends, lo, hi = part.words(K.NO_LETTER)
+        sums = K.prefix(K._BYTES[part.data], K._BASE)
+        letter = (part.data & 0xC0) != 0x80
+        after = (np.cumsum(letter) - 1)[starts] + STEM
+        begins = np.append(np.flatnonzero(letter), len(part.data))
+        stem = begins[np.minimum(after, len(begins) - 1)]
+        long = np.flatnonzero(stem < ends)
+        owner = np.repeat(np.arange(part.n), hi - lo)
+        words, stems = K.spans(sums, K._BASE, starts, ends), K.spans(sums, K._BASE, starts[long], stem[long])
+        yield part.row, part.n, np.concatenate([owner, owner[long]]), np.concatenate([words, K.mix(stems ^ _OF_STEM)])
 
 
-def examples(work: Work, docs: DataFrame, labels: DataFrame, label: str, out: F.Column, bound: int) -> DataFrame:
-    """doc_id, y, text of the examples; of copies one."""
+def vocabulary(chosen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All terms of the examples (as hashes) and the log likelihood ratios of their labels, the largest first; none
+    without two labels."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mark = pa.array(_shingle_mark(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, mark], [*batch.schema.names, "mark"])
-
-    sample = training_sample(docs, labels, label, out, bound).select("doc_id", "y", "text")
-    marked = work.table(sample.mapInArrow(make, "doc_id bigint, y int, text string, mark bigint"), "sample")
-    first = marked.groupBy("mark", "y").agg(F.min("doc_id").alias("doc_id"))
-    return work.table(marked.join(F.broadcast(first.select("doc_id")), "doc_id", "left_semi"), "examples")
-
-
-def vocabulary(chosen: DataFrame) -> tuple[list[str], np.ndarray]:
-    """All terms of the examples and the log likelihood ratios of their labels, the largest first; none without two labels."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
-            for text, y in zip(batch.column("text"), batch.column("y").to_pylist()):
-                counts[1 if y else 0].update(set(_LETTERS.findall((text.as_py() or "").lower())))
-        every = list(counts[0].keys() | counts[1].keys())
-        for i in range(0, len(every), 20_000):
-            part = every[i : i + 20_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), *(pa.array([c[t] for t in part], pa.int64()) for c in counts)], ["term", "n0", "n1"]
-            )
-        del counts, every
+            y = batch.column("y").to_numpy() > 0
+            for row, _, owner, found in _hashed(batch.column("text")):
+                terms, number = np.unique(found, return_inverse=True)
+                pair = np.unique(number * (1 << 32) + owner)
+                number, toxic = pair >> 32, y[row + (pair & (2**32 - 1))]
+                counts = [np.bincount(number[on], minlength=len(terms)) for on in (~toxic, toxic)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (terms.view(np.int64), *counts)], ["term", "n0", "n1"])
         release_memory()
 
     totals = chosen.agg(F.sum(F.when(F.col("y") > 0, 1).otherwise(0)), F.count("*")).first()
     if not totals[0] or totals[0] == totals[1]:
-        return [], np.zeros(0)
-    n1, n0 = float(totals[0]), float(totals[1] - totals[0])
-    counted = chosen.select("text", "y").mapInArrow(make, "term string, n0 bigint, n1 bigint")
-    found = counted.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).orderBy("term").toArrow()
-    with0, with1 = (found.column(c).to_numpy().astype(float) for c in ("n0", "n1"))
-    rate = (with0 + with1) / (n0 + n1)
-    gain = sum(x * np.log(np.where(x > 0, x, 1) / n / np.where(x > 0, rate, 1 / n)) for x, n in ((with0, n0), (with1, n1)))
-    order = np.argsort(-gain, kind="stable")
-    return found.column("term").take(pa.array(order)).to_pylist(), np.maximum(gain[order], 0.0)
+        return np.zeros(0, np.uint64), np.zeros(0)
+    counted = chosen.select("text", "y").mapInArrow(make, "term bigint, n0 bigint, n1 bigint")
+    found = counted.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    gain = gains(*(found.column(c).to_numpy().astype(float) for c in ("n0", "n1")), float(totals[1] - totals[0]), float(totals[0]))
+    term = found.column("term").to_numpy()
+    order = np.lexsort((term, -gain))
+    return term[order].view(np.uint64), gain[order]
 
 
-class _Terms:
-    """The terms of a text that examples have."""
-
-    def __init__(self, terms: list[str]):
-        self.number = {t: i for i, t in enumerate(terms)}
-        self.seen = _Generations(self._of_chunk, CHUNKS)
+def gains(with0: np.ndarray, with1: np.ndarray, n0: float, n1: float) -> np.ndarray:
+    """Log likelihood ratios of terms that so many of n0 and n1 examples have."""
+    rate = (with0 + with1) / (n0 + n1)
+    gain = sum(x * np.log(np.where(x > 0, x, 1) / n / np.where(x > 0, rate, 1 / n)) for x, n in ((with0, n0), (with1, n1)))
+    return np.maximum(gain, 0.0)
 
-    def _of_chunk(self, chunk: str) -> tuple[int, ...]:
-        number = self.number
-        return tuple(number[w] for w in _LETTERS.findall(chunk) if w in number)
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Terms in order, and their counts."""
-        found = [i for t in map(self.seen.__getitem__, (text or "").lower().split()) for i in t]
-        self.seen.turn()
-        return np.unique(np.array(found, np.int32), return_counts=True)
+def counted(numbers: K.Numbering, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each text its terms that examples have, in order, and their counts."""
+    for _, n, owner, found in _hashed(texts):
+        term = numbers.find(found)
+        on = term >= 0
+        pair, count = np.unique(owner[on] * (1 << 32) + term[on], return_counts=True)
+        cuts = np.searchsorted(pair, np.arange(1, n) * (1 << 32))
+        yield from zip(np.split((pair & (2**32 - 1)).astype(np.int32), cuts), np.split(count.astype(np.int32), cuts))
 
 
 def term_counts(rows: DataFrame, terms: Broadcast) -> DataFrame:
     """doc_id and y, and the text's terms and their counts, in the terms' order."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Terms(terms.value)
+        numbers = K.Numbering(terms.value)
         for batch in batches:
-            found = [reader.counts(t.as_py()) for t in batch.column("text")]
-            columns = [pa.array([f[i].astype(np.int32) for f in found], pa.list_(pa.int32())) for i in (0, 1)]
+            found = list(counted(numbers, batch.column("text")))
+            columns = [pa.array([f[i] for f in found], pa.list_(pa.int32())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), *columns], ["doc_id", "y", "terms", "counts"])
-        del reader
+        del numbers
         release_memory()
 
     return rows.select("doc_id", "y", "text").mapInArrow(make, "doc_id bigint, y int, terms array<int>, counts array<int>")
@@ -141,14 +137,16 @@ def document_frequencies(rows: DataFrame, terms: Broadcast) -> np.ndarray:
     """How many texts have each term; a task sends one row for each term that it met."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Terms(terms.value)
-        many = np.zeros(len(reader.number), np.int64)
+        numbers = K.Numbering(terms.value)
+        many = np.zeros(len(numbers.keys), np.int64)
         for batch in batches:
-            for text in batch.column("text"):
-                many[reader.counts(text.as_py())[0]] += 1
+            for _, _, owner, found in _hashed(batch.column("text")):
+                term = numbers.find(found)
+                on = term >= 0
+                many += np.bincount(np.unique(owner[on] * (1 << 32) + term[on]) & (2**32 - 1), minlength=len(many))
         met = np.flatnonzero(many)
         yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(many[met])], ["t", "n"])
-        del reader, many
+        del numbers, many
         release_memory()
 
     found = rows.select("text").mapInArrow(make, "t int, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
@@ -157,29 +155,48 @@ def document_frequencies(rows: DataFrame, terms: Broadcast) -> np.ndarray:
     return out
 
 
+def vector(scale: np.ndarray, terms, counts) -> np.ndarray:
+    """The unit vector of term weights."""
+    w = (1 + np.log(np.asarray(counts, float))) * scale[np.asarray(terms, np.int64)]
+    return w / np.sqrt(w @ w)
+
+
+def _side_by_side(table: np.ndarray) -> np.ndarray:
+    """An order of the rows in which those that are alike share blocks: halved along their main direction, and so on."""
+    rows = np.arange(len(table))
+    if len(table) <= BLOCK or not table.shape[1]:
+        return rows
+    x = table - table.mean(0)
+    v = np.random.default_rng(0).standard_normal(x.shape[1]).astype(np.float32)
+    for _ in range(6):
+        v = x.T @ (x @ v)
+        v /= np.linalg.norm(v) + np.float32(1e-30)
+    rows = np.argsort(x @ v, kind="stable")
+    half = -(-len(rows) // BLOCK) // 2 * BLOCK
+    return np.concatenate([part[_side_by_side(table[part])] for part in (rows[:half], rows[half:])])
+
+
 @dataclass
 class Index:
-    """Entries (distinct vectors of examples) by term, in blocks with their largest weights."""
+    """Entries (distinct vectors of examples) by term, in blocks with their largest weights.
+
+    Weights are single-precision numbers; cosines are sums of their products in double precision.
+    """
 
     scale: np.ndarray  # of each term's weight
-    votes: np.ndarray  # labels 1 and all, by entry
+    votes: np.ndarray  # share of label 1, by entry
     evidence: np.ndarray  # a document of each entry
-    entry: np.ndarray  # and `weight`: by term, then in order
+    column: np.ndarray  # of each term among the dense ones, -1 for others
+    dense: np.ndarray  # weights of dense terms, by block, entry and column
+    dense_most: np.ndarray  # the largest, by block and column
+    by_term: np.ndarray  # of other terms the first place in `entry` and `weight`, which are by term, then in order
+    entry: np.ndarray
     weight: np.ndarray
-    block: np.ndarray  # blocks that hold a term, by term; with the largest weight and the first place in `entry`
-    most: np.ndarray
-    first: np.ndarray
-    by_term: np.ndarray  # the first place in `block`
     empty: float  # the rate of examples without a term
     base: float
 
-    @staticmethod
-    def vector(scale: np.ndarray, terms, counts) -> np.ndarray:
-        w = (1 + np.log(np.asarray(counts, float))) * scale[np.asarray(terms, np.int64)]
-        return w / np.sqrt(w @ w)
-
     @classmethod
-    def build(cls, rows: Iterable[tuple], scale: np.ndarray) -> Index:
+    def build(cls, rows: Iterable[tuple], scale: np.ndarray, dense: int = DENSE) -> Index:
         """Of (doc_id, y, terms, counts)."""
         n = positive = n_bare = positive_bare = 0
         groups: dict[tuple[bytes, bytes], list[int]] = {}  # big-endian numbers have the order of their bytes
@@ -196,65 +213,115 @@ class Index:
         of = [[np.frombuffer(x, ">i4").astype(np.int32) for x in key] for key in keys]
         none = [np.zeros(0, np.int32)]
         term = np.concatenate([t for t, _ in of] or none)
-        weight = np.concatenate([cls.vector(scale, t, c) for t, c in of] or [np.zeros(0)])
-        entry = np.repeat(np.arange(len(of), dtype=np.int32), [len(t) for t, _ in of])
-        order = np.argsort(term, kind="stable")
+        weight = np.concatenate([vector(scale, t, c).astype(np.float32) for t, c in of] or [np.zeros(0, np.float32)])
+        sizes = [len(t) for t, _ in of]
+        held = np.bincount(term, minlength=len(scale))
+        common = np.argsort(-held, kind="stable")[:dense]
+        common = common[held[common] > 0]
+        column = np.full(len(scale), -1, np.int32)
+        column[common] = np.arange(len(common))
+        blocks = -(-len(of) // BLOCK)
+        on, owner = column[term] >= 0, np.repeat(np.arange(len(of)), sizes)
+        table = np.zeros((blocks * BLOCK, len(common)), np.float32)
+        table[owner[on], column[term[on]]] = weight[on]
+        place = _side_by_side(table[: len(of)])
+        table[: len(of)], entries = table[place], [entries[i] for i in place.tolist()]
+        table = table.reshape(blocks, BLOCK, len(common))
+        entry = np.argsort(place, kind="stable").astype(np.int32)[owner]
+        term, entry, weight = term[~on], entry[~on], weight[~on]
+        order = np.lexsort((entry, term))
         term, entry, weight = term[order], entry[order], weight[order]
-        new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (entry[1:] // BLOCK != entry[:-1] // BLOCK)
-        first = np.flatnonzero(new)
-        most = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
-        kind = np.min_scalar_type(len(of))
+        numbers = np.arange(len(scale) + 1)
         return cls(
-            scale, np.array([e[:2] for e in entries], float).reshape(-1, 2), np.array([e[2] for e in entries], np.int64), entry.astype(kind), weight,
-            (entry[first] // BLOCK).astype(kind), np.nextafter(most.astype(np.float32), np.float32(2)), np.append(first, len(term)).astype(np.int32),
-            np.searchsorted(term[first], np.arange(len(scale) + 1)).astype(np.int32), (positive_bare + base) / (n_bare + 1), base,
+            scale, np.array([e[0] / e[1] for e in entries]), np.array([e[2] for e in entries], np.int64), column, table,
+            table.max(1) if blocks else np.zeros((0, len(common)), np.float32), np.searchsorted(term, numbers).astype(np.int32), entry, weight,
+            (positive_bare + base) / (n_bare + 1), base,
         )
 
-    def nearest(self, terms, counts, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries of the largest cosines above zero, and these; earlier entries first among equal ones."""
-        terms = np.asarray(terms, np.int64)
-        q = self.vector(self.scale, terms, counts)
-        blocks = self.by_term[terms + 1] - self.by_term[terms]
-        place, q = ranges(self.by_term[terms], blocks), np.repeat(q, blocks)
-        block, n = self.block[place], len(self.votes)
-        bound = np.bincount(block, q * self.most[place], -(-n // BLOCK)) + 1e-9
-        start, size = self.first[place], self.first[place + 1] - self.first[place]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 1e-9]
-        ids, cosines, least, at, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, FIRST_BLOCKS
-        while at < len(order) and (len(ids) < k or bound[order[at]] >= least):
-            part = order[at : at + step]
-            now = np.zeros(len(bound), bool)
-            now[part[bound[part] >= least]] = True
-            on = np.flatnonzero(now[block])
-            held = ranges(start[on], size[on])
-            score = np.bincount(self.entry[held], np.repeat(q[on], size[on]) * self.weight[held], n)
-            found = np.flatnonzero(score > least)
-            ids, cosines = np.concatenate([ids, found]), np.concatenate([cosines, score[found]])
-            if len(ids) >= k:
-                least = max(0.0, np.partition(cosines, len(cosines) - k)[len(cosines) - k] - 1e-11)
-                ids, cosines = ids[cosines > least], cosines[cosines > least]
-            at, step = at + step, 2 * step
-        first = np.lexsort((ids, -np.round(cosines, 12)))[:k]
-        return ids[first], cosines[first]
-
-    def vote(self, terms, counts, k: int, less: tuple[int, int] = (0, 0)) -> tuple[float, list[int]]:
-        """The share of votes for label 1, weighted by distance, and the nearest entries' documents."""
-        found, cos = self.nearest(terms, counts, k)
-        weight = 1 / (1.05 - np.minimum(cos, 1.0))
-        votes = self.votes[found].copy()
-        if less[1] and len(found) and cos[0] > 1 - 1e-9:
-            votes[0] -= less
-        share = (weight @ votes[:, 0] + self.base) / (weight @ votes[:, 1] + 1) if len(found) else self.empty
-        return float(share), self.evidence[found[:3]].tolist()
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text (terms, counts; at least one term) the k entries of the largest cosines above zero: the text, the
+        entry and the cosine, the nearest first and earlier entries first among equal ones."""
+        m, blocks = len(texts), len(self.dense)
+        terms = np.concatenate([t for t, _ in texts]).astype(np.int64)
+        owner = np.repeat(np.arange(m), [len(t) for t, _ in texts])
+        q = np.concatenate([vector(self.scale, t, c) for t, c in texts])
+        at = self.column[terms]
+        wide = np.zeros((m, self.dense.shape[2]))
+        wide[owner[at >= 0], at[at >= 0]] = q[at >= 0]
+        narrow = wide.astype(np.float32)
+        owner, terms, q = owner[at < 0], terms[at < 0], q[at < 0]
+
+        sizes = self.by_term[terms + 1] - self.by_term[terms]
+        place = ranges(self.by_term[terms], sizes)
+        sums = np.bincount(
+            np.repeat(owner * (blocks * BLOCK), sizes) + self.entry[place], np.repeat(q, sizes) * self.weight[place], m * blocks * BLOCK
+        )
+        rest = sums.reshape(m, blocks, BLOCK)  # what listed terms add to each cosine, so that their share of a bound is exact
+        bound = narrow @ self.dense_most.T + rest.max(2) + 1e-5
+        score = np.zeros((blocks, m, BLOCK))
+        left = np.ones((m, blocks), bool)
+
+        def read(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(0)).tolist():
+                of = np.flatnonzero(wanted[:, b])
+                score[b, of] = narrow[of] @ self.dense[b].T + rest[of, b]
+            left[wanted] = False
+
+        first = min(max(FIRST_BLOCKS, -(-k // BLOCK)), blocks)
+        best = np.argpartition(-bound, first - 1, axis=1)[:, :first]
+        wanted = np.zeros((m, blocks), bool)
+        wanted[np.arange(m)[:, None], best] = True
+        read(wanted)
+        have = score[best, np.arange(m)[:, None]].reshape(m, -1)
+        least = np.partition(have, have.shape[1] - k, axis=1)[:, -k] if have.shape[1] >= k else np.zeros(m)
+        read(left & (bound >= least[:, None]))
+        block, text, place = np.nonzero(score >= np.maximum(least, 2e-5)[:, None] - 1e-5)
+        if len(text):  # the k-th best of all that was read
+            cosine = score[block, text, place]
+            place += block * BLOCK
+            order = np.lexsort((-cosine, text))
+            starts = np.searchsorted(text[order], np.arange(m + 1))
+            kth = np.minimum(starts[:-1] + k, starts[1:]) - 1
+            bar = np.where(kth >= starts[:-1], cosine[order[np.maximum(kth, 0)]], 0)
+            on = cosine >= bar[text] - 1e-5
+            text, place = text[on], place[on]
+        exact = np.empty(len(text))
+        flat = self.dense.reshape(blocks * BLOCK, self.dense.shape[2])
+        for i in range(0, len(text), 1024):
+            a, b = text[i : i + 1024], place[i : i + 1024]
+            exact[i : i + 1024] = np.einsum("ij,ij->i", wide[a], flat[b], dtype=np.float64)
+        exact += rest.reshape(m, -1)[text, place]
+        order = np.lexsort((place, -np.round(exact, 12), text))
+        text, place, exact = text[order], place[order], exact[order]
+        rank = np.arange(len(text)) - np.searchsorted(text, text)
+        on = (rank < k) & (exact > 0)
+        return text[on], place[on], exact[on]
+
+    def votes_on(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, kin: float | None = None) -> tuple[np.ndarray, list[list[int]]]:
+        """Each text's share of votes for label 1, weighted by distance, and its nearest entries' documents; texts
+        without a term have the share NaN.  Entries nearer than `kin` do not vote."""
+        share, evidence = np.full(len(texts), np.nan), [[] for _ in texts]
+        ours = [i for i, (t, _) in enumerate(texts) if len(t)]
+        for i in range(0, len(ours) if len(self.votes) else 0, TOGETHER):
+            part = ours[i : i + TOGETHER]
+            text, entry, cosine = self.nearest([texts[j] for j in part], k)
+            weight = 1 / (1.05 - np.minimum(cosine, 1.0))
+            if kin is not None:
+                weight[cosine >= kin] = 0
+            total = np.bincount(text, weight, len(part))
+            share[part] = (np.bincount(text, weight * self.votes[entry], len(part)) + self.base) / (total + 1)
+            cuts = np.searchsorted(text, np.arange(len(part) + 1)).tolist()
+            named = self.evidence[entry].tolist()
+            for j, a, b in zip(part, cuts, cuts[1:]):
+                evidence[j] = named[a : min(b, a + 3)]
+        return share, evidence
 
 
 def fit(docs: DataFrame, chosen: DataFrame, terms: Broadcast, gain: np.ndarray, k: int) -> tuple[Broadcast, tuple | None]:
     """The index of the examples, sent to workers once, and its calibration; document frequencies are of all documents."""
     scale = (np.log((docs.count() + 1) / (document_frequencies(docs, terms) + 1)) + 1) * (gain + FLOOR) if len(gain) else gain
-    counted = term_counts(chosen, terms)
-    rows = counted.toArrow()
+    examples = term_counts(chosen, terms)
+    rows = examples.toArrow()
     index = Index.build(
         (tuple(x) for b in rows.to_batches() for x in zip(*(c.to_pylist() for c in b.columns[:2]), *(_arrays(c) for c in b.columns[2:]))), scale
     )
@@ -265,13 +332,13 @@ def fit(docs: DataFrame, chosen: DataFrame, terms: Broadcast, gain: np.ndarray,
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, y = shared.value, batch.column("y").to_pylist()
-            found = [(index.vote(t, c, k, (v, 1))[0], v) for v, t, c in zip(y, *map(_arrays, batch.columns[2:])) if len(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.float64(), pa.int32()))], ["share", "y"])
+            share, _ = shared.value.votes_on(list(zip(*map(_arrays, batch.columns[2:]))), k, KIN)
+            on = np.flatnonzero(~np.isnan(share))
+            yield pa.RecordBatch.from_arrays([pa.array(share[on]), batch.column("y").take(pa.array(on))], ["share", "y"])
 
     if not some:
         return shared, None
-    votes = counted.repartition(CALIBRATION_TASKS).mapInArrow(tidy(make), "share double, y int").toArrow()
+    votes = examples.repartition(CALIBRATION_TASKS).mapInArrow(tidy(make), "share double, y int").toArrow()
     y = votes.column("y").to_numpy().astype(float)
     return shared, isotonic(votes.column("share").to_numpy(), y, np.ones(len(y)))
 
@@ -283,45 +350,45 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
 
 
 class _Scores:
-    """Score and evidence of a text."""
+    """Scores and evidence of texts."""
+
+    def __init__(self, index: Index, steps: tuple | None, terms: np.ndarray, k: int):
+        self.index, self.steps, self.k, self.numbers = index, steps, k, K.Numbering(terms)
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, list[list[int]]]:
+        share, evidence = self.index.votes_on(list(counted(self.numbers, texts)), self.k)
+        known = ~np.isnan(share)
+        score = np.full(len(share), self.index.empty)
+        if known.any():
+            score[known] = np.interp(share[known], *self.steps)
+        return score, evidence
 
-    def __init__(self, index: Index, steps: tuple | None, terms: list[str], k: int):
-        self.index, self.steps, self.k, self.reader, self.seen = index, steps, k, _Terms(terms), {}
 
-    def of(self, text: str | None) -> tuple[float, list[int]]:
-        terms, counts = self.reader.counts(text)
-        if not len(terms):
-            return self.index.empty, []
-        key = (terms.tobytes(), counts.tobytes())
-        if key not in self.seen:
-            if len(self.seen) > VECTORS:
-                self.seen.clear()
-            share, near = self.index.vote(terms, counts, self.k)
-            self.seen[key] = (float(np.interp(share, *self.steps)), near)
-        return self.seen[key]
+def _fitted(work: Work, docs: DataFrame, labels: DataFrame, label: str, out: F.Column, bound: int, size: int, k: int):
+    """Index, calibration and terms; the examples' table is deleted by the caller's `work`."""
+    chosen = training_sample(docs, labels, label, out, bound, size).select("doc_id", "y", "text")
+    chosen = work.table(chosen, "examples")
+    found, gain = vocabulary(chosen)
+    terms = docs.sparkSession.sparkContext.broadcast(found)
+    return (*fit(docs, chosen, terms, gain, k), terms)
 
 
 def scored(
     work: Work, docs: DataFrame, labels: DataFrame, label: str = "toxic", out: F.Column | None = None,
-    bound: int = EXAMPLES, k: int = NEAREST,
+    bound: int = EXAMPLES, k: int = NEAREST, size: int = EXAMPLE_BYTES,
 ) -> DataFrame:
     """doc_id, score and evidence (documents of the nearest entries) for each row of docs."""
-    out = F.lit(False) if out is None else out
-    chosen = examples(work, docs, labels, label, out, bound)
-    found, gain = vocabulary(chosen)
-    terms = docs.sparkSession.sparkContext.broadcast(found)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    index, steps = fit(rows, chosen, terms, gain, k)
-    work.drop("sample", "examples")
+    index, steps, terms = _fitted(work, rows, labels, label, F.lit(False) if out is None else out, bound, size, k)
+    work.drop("examples")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Scores(index.value, steps, terms.value, k)
         for batch in batches:
-            found = [reader.of(t.as_py()) for t in batch.column("text")]
+            score, evidence = reader.of(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()),
-                 pa.array([e for _, e in found], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"]
-            )
+                [batch.column("doc_id"), pa.array(score), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "score", "evidence"]
+            )
 
     return rows.mapInArrow(tidy(make), "doc_id bigint, score double, evidence array<bigint>")
 
@@ -331,16 +398,13 @@ def without_toxic(
 ) -> DataFrame:
     """The documents scored below the threshold, with all their columns, by every label; texts are not shuffled."""
     work = Work(docs.sparkSession, "toxicity")
-    chosen = examples(work, docs, labels, label, F.lit(False), bound)
-    found, gain = vocabulary(chosen)
-    terms = docs.sparkSession.sparkContext.broadcast(found)
-    index, steps = fit(docs, chosen, terms, gain, NEAREST)
+    index, steps, terms = _fitted(work, docs, labels, label, F.lit(False), bound, EXAMPLE_BYTES, NEAREST)
     work.close()
 
     def kept(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         reader = _Scores(index.value, steps, terms.value, NEAREST)
         for column in texts:
-            yield pa.array([reader.of(text.as_py())[0] < threshold for text in column], pa.bool_())
+            yield pa.array(reader.of(column)[0] < threshold)
         del reader
         release_memory()
 

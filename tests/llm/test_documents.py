@@ -77,39 +77,6 @@ def test_toxicity(spark):
     assert {r.doc_id for r in kept.collect() if r.doc_id is not None and r.doc_id < 600 and r.doc_id != 5} == {i for i in range(600) if i % 5}
 
 
-def test_toxicity_of_few_labels_and_all_words(spark):
-    rows = [(i, " ".join([*words(i, 20), "scum" if i % 8 == 0 else "mild"]), "en", "s", 1) for i in range(96)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    labels = docs.where("doc_id < 64").selectExpr("doc_id", "1 as quality", "cast(doc_id % 8 = 0 as int) as toxic")
-    terms, _ = toxicity.vocabulary(docs.join(labels, "doc_id").selectExpr("text", "toxic as y"))
-    assert set(terms) == {w for i, text, *_ in rows if i < 64 for w in text.split()}
-    found = toxicity.scored(Work(spark, "t"), docs, labels).collect()
-    assert all(r.evidence and (r.score >= 0.5) == (r.doc_id % 8 == 0) for r in found)
-
-
-def test_nearest_examples_are_exact():
-    r = np.random.default_rng(1)
-    rows = []
-    for i in range(700):
-        terms = tuple(sorted(r.choice(30, r.integers(0, 5), replace=False).tolist()))
-        rows.append((i, int(r.random() < 0.3), terms, tuple(int(x) for x in r.integers(1, 4, len(terms)))))
-    idf = 1 + r.random(30)
-    index = toxicity.Index.build(rows, idf)
-    entries = sorted({(t, c) for _, _, t, c in rows if t})
-    dense = np.zeros((len(entries), 30))
-    for i, (t, c) in enumerate(entries):
-        dense[i, list(t)] = toxicity.Index.vector(idf, t, c)
-    for _, _, t, c in rows[:200]:
-        if t:
-            q = np.zeros(30)
-            q[list(t)] = toxicity.Index.vector(idf, t, c)
-            cos = dense @ q
-            order = np.lexsort((np.arange(len(cos)), -np.round(cos, 12)))
-            want = [i for i in order if cos[i] > 0][:10]
-            ids, values = index.nearest(t, c, 10)
-            assert ids.tolist() == want and np.allclose(values, cos[want])
-
-
 def test_quality_classifier(spark):
     docs, labels = labelled_docs(spark)
     model = quality_classifier.fit(docs, labels, "quality", labelled.held_out(4, 2))
