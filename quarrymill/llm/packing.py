@@ -1,17 +1,20 @@
 """Mixture-controlled packing by deficit round-robin.
 
-Each source is a queue of its documents in ascending doc_id, cut into packets of at most one window of tokens.  In each
-round every queue is granted a quantum, its share of a window; a packet goes out in the first round in which the grants
-so far cover it and all before it, and what is left of the grants is the queue's deficit, carried on.  With queues that
-wait all the time (all documents are there from the start) that round has a closed form, the tokens up to the packet's
-end over the quantum, rounded up, so that rounds of all windows are found in parallel and deficits carry over windows
-and partitions alike.  Packets in order of round, source and place form one stream that is cut at every window, so
-that only the last window can be short.
+Each source is a queue of its documents in ascending doc_id.  In each round, which is one window long, every queue is
+granted a quantum, its share of a window, and sends a packet of that many tokens, cut out of its documents wherever it
+ends; queues whose quantum is below LEAST_PACKET save their grants until they cover a packet of that size.  What is
+granted and not sent (fractions of a token, or of a packet) is the queue's deficit, carried on.  With queues that wait
+all the time (all documents are there from the start) a packet's round has a closed form, the tokens through its end
+over the quantum, rounded up, so that the rounds of all windows are found in parallel and deficits carry over windows
+and partitions alike.  Packets in order of round and source form one stream that is cut at every window, so that only
+the last window can be short, and every window holds the target proportions to a token for each source (to a packet
+for sources with small shares), as long as no queue is empty.
 
 Shares are the sources' token counts unless given; a queue that runs empty leaves its share to the others.
 
 Edge cases: a null or empty text is the end id alone; a null source is a source of its own; documents with equal or
-null ids are packed each by itself, in the order of their texts; an empty table gives no pieces.
+null ids are packed each by itself, in the order of their texts' places in the input; very long texts are cut like
+others; other columns do not matter; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -30,10 +33,14 @@ from quarrymill.llm.tokens import END_ID, Encoder, default_vocabulary, text_part
 from quarrymill.llm.work import Work, table
 
 WINDOW = 4096
+LEAST_PACKET = 64
+#: Rows of a table of sources or of tasks' sums up to which it is sent to all tasks; larger ones are joined by a shuffle.
+SENT_ROWS = 100_000
 
 
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """uid, doc_id, source, n, ids: little-endian integers, of 16 bits where all ids of the text fit, else of 32."""
+    """uid, doc_id, queue, n, ids: little-endian integers, of 16 bits where all ids of the text fit, else of 32; `queue`
+    is a hash of the source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, uid = Encoder.of(vocabulary), TaskContext.get().partitionId() << 33
@@ -45,24 +52,33 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
                 rows = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(uid, uid + rows)), batch.column("doc_id"), batch.column("source"),
+                        pa.array(np.arange(uid, uid + rows)), batch.column("doc_id"), batch.column("queue"),
                         pa.array([len(x) for x in ids], pa.int64()),
                         pa.array([x.astype("<u2").tobytes() if x.max() < 65536 else x.tobytes() for x in ids], pa.binary()),
                     ],
-                    ["uid", "doc_id", "source", "n", "ids"],
+                    ["uid", "doc_id", "queue", "n", "ids"],
                 )
                 uid += rows
 
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), "text"
-    ).mapInArrow(run, "uid bigint, doc_id bigint, source string, n bigint, ids binary")
+        F.col("doc_id").cast("bigint").alias("doc_id"), queue_of(F.col("source").cast("string")).alias("queue"), "text"
+    ).mapInArrow(run, "uid bigint, doc_id bigint, queue bigint, n bigint, ids binary")
+
+
+def queue_of(source: F.Column) -> F.Column:
+    return F.xxhash64(source.isNull(), source)
+
+
+def _sent(small: DataFrame) -> DataFrame:
+    """Marked to be sent to all tasks if it is small."""
+    return F.broadcast(small) if small.limit(SENT_ROWS + 1).count() <= SENT_ROWS else small
 
 
 def with_sums(work: Work, df: DataFrame, name: str, order: list[str], value: str, within: list[str]) -> DataFrame:
-    """Adds `before`: the sum of `value` over the earlier rows of the same `within`, in the order of `order`.
+    """Adds `before`: the sum of `value` over the earlier rows of the same `within` (integers), in the order of `order`.
 
     Rows are dealt by ranges of `order` (which begins with `within`), so that a large group lies on many tasks; each
-    task sums its own rows, and the sums of one task's groups, a few rows each, are summed and sent to all.
+    task sums its own rows, and the sums of one task's groups, a few rows each, are summed and joined to them.
     """
     columns = df.columns
 
@@ -72,15 +88,16 @@ def with_sums(work: Work, df: DataFrame, name: str, order: list[str], value: str
             n = batch.num_rows
             if not n:
                 continue
-            keys = list(zip(*(batch.column(c).to_pylist() for c in within))) if within else [()] * n
+            keys = np.stack([batch.column(c).to_numpy() for c in within] or [np.zeros(n, np.int64)])
             values = batch.column(value).to_numpy()
-            fresh = np.array([k != p for k, p in zip(keys, [last, *keys[:-1]])]) if within else np.zeros(n, bool)
-            if last is None:
-                fresh[0] = True
+            fresh = np.ones(n, bool)
+            fresh[1:] = (keys[:, 1:] != keys[:, :-1]).any(0)
+            if last is not None:
+                fresh[0] = (keys[:, 0] != last).any()
             sums = np.concatenate([[total], total + np.cumsum(values)])
             first = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
             sums_before = sums[:-1] - np.where(first >= 0, sums[np.maximum(first, 0)], 0)
-            last, total = keys[-1], int(sums_before[-1] + values[-1])
+            last, total = keys[:, -1], int(sums_before[-1] + values[-1])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in columns), pa.array(np.full(n, part, np.int64)), pa.array(sums_before)],
                 [*columns, "part", "local"],
@@ -96,7 +113,7 @@ def with_sums(work: Work, df: DataFrame, name: str, order: list[str], value: str
     same = F.lit(True)
     for c in [*within, "part"]:
         same = same & dealt[c].eqNullSafe(base[f"__{c}"])
-    return dealt.join(F.broadcast(base), same).select(*columns, (F.col("base") + F.col("local")).alias("before"))
+    return dealt.join(_sent(base), same).select(*columns, (F.col("base") + F.col("local")).alias("before"))
 
 
 def pack(
@@ -108,33 +125,37 @@ def pack(
     `deficit` is what was left of the queue's grants after the piece's packet.
     """
     tokens = work.table(tokenized(docs, vocabulary or default_vocabulary(), end_id), "tokens")
-    queue = with_sums(
-        work, tokens.select("source", "doc_id", "uid", "n"), "queue", ["source", "doc_id", "uid"], "n", ["source"]
-    )
-    totals = tokens.groupBy("source").agg(F.sum("n").alias("total"))
+    lengths = tokens.select("queue", "doc_id", "uid", "n")
+    waiting = with_sums(work, lengths, "queue", ["queue", "doc_id", "uid"], "n", ["queue"])
+    totals = work.table(tokens.groupBy("queue").agg(F.sum("n").alias("total")), "totals")
     if weights is None:
-        share = F.col("total") / F.sum("total").over(Window.partitionBy())
+        asked = F.col("total").cast("double")
     else:
-        pairs = [x for k, w in weights.items() for x in (F.lit(k), F.lit(float(w)))]
-        asked = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("source")), F.lit(0.0)) if pairs else F.lit(0.0)
+        pairs = [x for k, w in weights.items() for x in (queue_of(F.lit(k)), F.lit(float(w)))]
+        asked = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("queue")), F.lit(0.0)) if pairs else F.lit(0.0)
         asked = F.greatest(asked, F.lit(1e-6))  # sources without a share come last, but come
-        share = asked / F.sum(asked).over(Window.partitionBy())
-    quanta = totals.select(F.col("source").alias("q_source"), (share * window).alias("quantum"))
+    every = totals.agg(F.sum(asked)).first()[0] or 1.0
+    quanta = totals.select(F.col("queue").alias("of"), (asked * (window / every)).alias("quantum"))
+    # Packet k of a queue has its tokens from floor(k * size) up to floor((k + 1) * size).
+    cut = lambda k: F.floor((k) * F.col("packet") + 1e-9)
     packets = (
-        queue.join(F.broadcast(quanta), queue.source.eqNullSafe(F.col("q_source")))
-        .withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {window}"))))
+        waiting.join(_sent(quanta), F.col("queue") == F.col("of"))
+        .withColumn("packet", F.greatest(F.col("quantum"), F.lit(float(min(LEAST_PACKET, window)))))
+        .withColumn("k", F.explode(F.sequence(
+            F.greatest(F.floor(F.col("before") / F.col("packet")) - 1, F.lit(0).cast("bigint")),
+            F.floor((F.col("before") + F.col("n")) / F.col("packet")),
+        )))
+        .withColumn("from", F.greatest(F.col("before"), cut(F.col("k"))))
+        .withColumn("through", F.least(F.col("before") + F.col("n"), cut(F.col("k") + 1)))
+        .where(F.col("through") > F.col("from"))
+        .withColumn("round", F.ceil((F.col("k") + 1) * F.col("packet") / F.col("quantum") - 1e-9).cast("bigint"))
         .select(
-            "source", "uid", "doc_id", F.col("n").alias("doc_tokens"), "quantum",
-            (F.col("k") * window).alias("start"),
-            F.least(F.lit(window).cast("bigint"), F.col("n") - F.col("k") * window).alias("size"),
-            F.col("before"),
+            "round", "queue", "through", "uid", (F.col("from") - F.col("before")).alias("start"),
+            (F.col("through") - F.col("from")).alias("size"),
+            F.greatest(F.lit(0.0), F.col("round") * F.col("quantum") - F.col("through")).alias("deficit"),
         )
-        .withColumn("through", F.col("before") + F.col("start") + F.col("size"))
-        .withColumn("round", F.ceil(F.col("through") / F.col("quantum")).cast("bigint"))
-        .withColumn("deficit", F.col("round") * F.col("quantum") - F.col("through"))
-        .select("round", "source", "through", "uid", "doc_id", "doc_tokens", "start", "size", "deficit")
     )
-    stream = with_sums(work, packets, "stream", ["round", "source", "through"], "size", [])
+    stream = with_sums(work, packets, "stream", ["round", "queue", "through"], "size", [])
     cuts = F.sequence(F.expr(f"before div {window}"), F.expr(f"(before + size - 1) div {window}"))
     pieces = (
         stream.withColumn("sequence_id", F.explode(cuts))
@@ -160,7 +181,7 @@ def pack(
             owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
             for i in range(batch.num_rows):
                 data = batch.column("ids")[i].as_py()
-                ids = np.frombuffer(data, "<u2" if len(data) == 2 * counts[i] else "<u4").astype("<u4").tobytes()
+                ids = np.frombuffer(data, "<u2" if len(data) == 2 * counts[i] else "<u4").astype("<u4").data.cast("B")
                 crc += [zlib.crc32(ids[4 * starts[j] : 4 * (starts[j] + sizes[j])]) for j in range(bounds[i], bounds[i + 1])]
             columns = dict(zip(names, (x.slice(lo, hi - lo) for x in flat)))
             columns |= {k: batch.column(k).take(pa.array(owner)) for k in ("uid", "doc_id")}
