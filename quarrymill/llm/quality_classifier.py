@@ -1,16 +1,17 @@
 """Quality by Naive Bayes support vectors.
 
-Features are indicators of n-grams (one to three) of word shapes: a word's last byte, whether its first two bytes are
-capitals, and whether it repeats a word just before it; and of the shares of repeated lines and of repeated five-word
-windows, in tenths.  Each is hashed to one of 2**16 places.  Indicators are scaled by the log ratio of their smoothed
-counts in the two classes, and a linear model with hinge loss is fitted on them by dual coordinate descent.  Margins
-of left-out folds calibrate the scores.
+Features are indicators of n-grams: of lower-case words (one and two), and of word shapes (one to three), where a shape
+is a word's last byte, whether its first two bytes are capitals, and whether it repeats a word just before it; and of
+the shares of repeated lines and of repeated five-word windows, in tenths.  Each is hashed to one of PLACES places.
+Indicators are scaled by the log ratio of their smoothed counts in the two classes, and a linear model with hinge loss is
+fitted on them by dual coordinate descent.  Margins of left-out folds calibrate the scores.
 
-At most EXAMPLES labelled documents are used, chosen by a hash of their ids.
+At most EXAMPLES labelled documents with EXAMPLE_BYTES of text in all are used, chosen by a hash of their ids.
 
 Edge cases: a null or empty text, or one without words, has the bias alone; with one class or none among the examples
-every score is the smoothed rate of label 1.  Rows with equal or null ids are scored each by itself; an empty table
-gives none.
+every score is the smoothed rate of label 1.  A label that is null is none; an id with several labels is good if one says
+so.  Rows with equal or null ids are scored each by itself; very long texts are one row like others; other columns do not
+matter; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from quarrymill.llm import kernels as K
 from quarrymill.llm.labelled import held_out, platt, training_sample
 from quarrymill.llm.work import table
 
-EXAMPLES = 12_000
-PLACES = 1 << 16
+EXAMPLES = 8_000
+EXAMPLE_BYTES = 24 << 20
+SHAPES = 1 << 16
+PLACES = SHAPES + (1 << 18)
 COST = 0.1
 EPOCHS = 20
 
@@ -55,13 +58,16 @@ def features(part: K.Slice) -> list[np.ndarray]:
         g = np.full(max(n - size + 1, 0), size, np.uint64)
         for i in range(size):
             g = K.mix(g * K._U(31) + shape[i : n - size + 1 + i])
-        grams.append((g % K._U(PLACES - 64)).astype(np.int64) + 64)
+        grams.append((size, (g % K._U(SHAPES - 64)).astype(np.int64) + 64))
+    low = part.word_hashes(starts, ends, lower=True)
+    for size in (1, 2):
+        grams.append((size, (K.mix(K.word_windows(low, size) + K._U(size)) % K._U(PLACES - SHAPES)).astype(np.int64) + SHAPES))
     windows = K.word_windows(hashes, 5)
     breaks = np.flatnonzero(part.data == 10)
     line_sums = K.prefix(K._BYTES[part.data], K._BASE)
     out = []
     for i, (a, b) in enumerate(zip(lo.tolist(), hi.tolist())):
-        found = [np.zeros(1, np.int64), *(g[a : b - size + 1] for size, g in zip((1, 2, 3), grams) if b - a >= size)]
+        found = [np.zeros(1, np.int64), *(g[a : b - size + 1] for size, g in grams if b - a >= size)]
         if b - a >= 5:
             m = b - a - 4
             found.append(np.array([1 + 10 * (m - len(np.unique(windows[a : b - 4]))) // m]))
@@ -145,14 +151,14 @@ def _featured(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [x for part in K.slices(batch.column("text")) for x in features(part)]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", out: F.Column | None = None, bound: int = EXAMPLES) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", out: F.Column | None = None, bound: int = EXAMPLES, size: int = EXAMPLE_BYTES) -> Model:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = pa.array([x.astype(np.int32).tobytes() for x in _featured(batch)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), found], ["doc_id", "y", "x"])
 
-    sample = training_sample(docs, labels, label, F.lit(False) if out is None else out, bound)
-    rows = sample.mapInArrow(make, "doc_id bigint, y int, x binary").collect()  # bounded by `bound`
+    sample = training_sample(docs, labels, label, F.lit(False) if out is None else out, bound, size)
+    rows = sample.mapInArrow(make, "doc_id bigint, y int, x binary").collect()  # bounded by `bound` and `size`
     rows.sort(key=lambda r: (r.doc_id, r.x))
     return train([np.frombuffer(r.x, np.int32).astype(np.int64) for r in rows], np.array([r.y for r in rows], float))
 
