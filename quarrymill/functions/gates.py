@@ -91,27 +91,36 @@ def length_rules(q: Column, a: Column) -> list[tuple[str, Column]]:
     ]
 
 
-def on_subject(c: Column, keywords) -> Column:
-    low = F.lower(c)
-    return F.greatest(*(low.contains(k) for k in keywords)) if len(keywords) > 1 else low.contains(keywords[0])
+def keywords_present(c: Column, keywords, language: Column | None = None) -> Column:
+    """How many of the keywords occur; `keywords` may be one vocabulary, or one for each language."""
+    if language is None:
+        return T.let(F.lower(c), lambda low: T.phrases_present(low, keywords))
 
+    def found(low: Column) -> Column:
+        out = F.lit(0).cast("bigint")
+        for name, words in keywords.items():
+            out = F.when(language == name, T.phrases_present(low, words)).otherwise(out)
+        return out
 
-def cleaning_reason(q: Column, a: Column, keywords) -> Column:
+    return T.let(F.lower(c), found)
+
+
+def cleaning_reason(q: Column, a: Column, keywords, language: Column | None = None) -> Column:
     """The first of all rules after cleaning, in their order."""
     return first_failure(
         *length_rules(q, a),
         ("incomplete", ~a.rlike("[.!?]\\z")), ("low_info", T.low_information(a)), ("structure_bad", ~T.has_structure(a)),
-        ("grammar", ~T.grammar_ok(q)), ("off_subject", ~on_subject(F.concat(q, F.lit(" "), a), keywords)),
+        ("grammar", ~T.grammar_ok(q)), ("off_subject", keywords_present(F.concat(q, F.lit(" "), a), keywords, language) < 1),
         ("placeholders", T.has_placeholder(q) | T.has_placeholder(a)), ("repetitive", T.is_repetitive(a)),
     )
 
 
-def quality_score(q: Column, a: Column, keywords) -> Column:
+def quality_score(q: Column, a: Column, keywords, language: Column | None = None) -> Column:
     def less(condition: Column, points: float) -> Column:
         return F.when(F.coalesce(condition, F.lit(False)), points).otherwise(0.0)
 
     full = F.size(F.filter(T.sentences(a), lambda s: s != ""))
-    found = T.phrases_present(F.lower(F.concat(q, F.lit(" "), a)), keywords)
+    found = keywords_present(F.concat(q, F.lit(" "), a), keywords, language)
     taken = (
         less(T.word_count(q) < 5, 2.0) + less(T.word_count(a) < 20, 2.0) + less(T.word_count(a) > 500, 1.0)
         + less(full < 2, 1.5) + less(found < 2, 2.0) + less(T.has_placeholder(q) | T.has_placeholder(a), 3.0)

@@ -18,13 +18,13 @@ WORD, NOT_WORD = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
 EDGE = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 
 # Words and phrases that the rules look for.
-FRENCH = "le la les de et dans pour est que une des sont".split()
-ENGLISH = "the and is in to of a are that for".split()
+FRENCH = ("le", "la", "les", "de", "et", "dans", "pour", "est", "que", "une", "des", "sont")
+ENGLISH = ("the", "and", "is", "in", "to", "of", "a", "are", "that", "for")
 GENERIC = (
     "it is important", "there are many", "it depends", "in general", "it can be", "there is a", "this is a", "these are",
 )
 WORN = ("as i mentioned", "as mentioned earlier", "like i said", "as i said before")
-QUESTION_WORDS = "what how why when where who which can could should would is are does do".split()
+QUESTION_WORDS = ("what", "how", "why", "when", "where", "who", "which", "can", "could", "should", "would", "is", "are", "does", "do")
 QUESTION_PREFIXES = ("Question:", "Q:", "Answer:", "A:", "Rewritten:", "Here's", "Here is")
 ANSWER_PREFIXES = ("Answer:", "A:", "Here's", "Here is", "Reformulated")
 FREE_PREFIXES = ("Question:", "Q:", "Answer:", "A:", "New")
@@ -148,12 +148,16 @@ def tidy_capitals(c: Column) -> Column:
     return replaced(let(c, raised), *((f"(?i){EDGE}{a}{EDGE}", b) for a, b in TERMS))
 
 
-def clean_text(c: Column, language: str) -> Column:
-    """The whole cleaning of questions and answers; null becomes empty."""
+def clean_text(c: Column, language: Column | str) -> Column:
+    """The whole cleaning of questions and answers, for a language or a column of languages; null becomes empty."""
     c = tidy_capitals(tidy_marks(tidy_spaces(drop_links(compose(F.coalesce(c, F.lit("")))))))
-    if language == "fr":
-        c = F.replace(replaced(c, (f"«{WS}*", "« "), (f"{WS}*»", " »")), F.lit("' "), F.lit("'"))
-    return strip(c)
+
+    def quoted(x: Column) -> Column:
+        return F.replace(replaced(x, (f"«{WS}*", "« "), (f"{WS}*»", " »")), F.lit("' "), F.lit("'"))
+
+    if isinstance(language, str):
+        return strip(quoted(c) if language == "fr" else c)
+    return strip(let(c, lambda x: F.when(language == "fr", quoted(x)).otherwise(x)))
 
 
 def has_placeholder(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.functions import text as T
-from quarrymill.operators.order import running_total
+from quarrymill.operators.order import positions
 
 
 def chunked(c: Column, target: int = 2500, overlap: int = 300) -> Column:
@@ -33,11 +33,9 @@ def chunked(c: Column, target: int = 2500, overlap: int = 300) -> Column:
 
 def chunk_documents(docs: DataFrame, target: int = 2500, overlap: int = 300) -> DataFrame:
     """doc_id, text -> a row per chunk, with its place in the document and, from 1, over all documents."""
-    each = docs.select("doc_id", chunked(F.col("text"), target, overlap).alias("chunks"))
-    each = each.withColumn("total_chunks", F.size("chunks").cast("bigint"))
-    numbered = running_total(each.select("doc_id", "total_chunks"), ["doc_id"], "total_chunks")
-    return (
-        each.select("doc_id", F.posexplode("chunks").alias("at", "text")).join(numbered, "doc_id")
-        .select("doc_id", (F.col("before") + F.col("at") + 1).alias("chunk_id"), (F.col("at") + 1).cast("bigint").alias("chunk_index"),
-                "total_chunks", "text", T.word_count(F.col("text")).alias("word_count"))
+    folded = docs.select("doc_id", chunked(F.col("text"), target, overlap).alias("chunks"))
+    each = folded.select("doc_id", F.size("chunks").cast("bigint").alias("total_chunks"), F.posexplode("chunks").alias("at", "text"))
+    return positions(each, ["doc_id", "at"]).select(
+        "doc_id", (F.col("before") + 1).alias("chunk_id"), (F.col("at") + 1).cast("bigint").alias("chunk_index"), "total_chunks", "text",
+        T.word_count(F.col("text")).alias("word_count"),
     )

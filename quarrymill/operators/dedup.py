@@ -43,25 +43,28 @@ def near_pairs(classes: DataFrame, percent: int = 85) -> DataFrame:
     """a < b and their Jaccard similarity, of all pairs of class representatives at `percent` or more.
 
     Prefix filtering: two sets that similar share one of their rarest n - ceil(percent * n / 100) + 1 tokens, in a common
-    order by document frequency, and their sizes are that close; candidates are verified on whole sets.
+    order by document frequency, and their sizes are that close; candidates are verified on whole sets.  Tokens travel as
+    64-bit hashes up to there (equal tokens have equal ones, so that no pair is lost).  `classes` is read several times:
+    it should be a kept table.
     """
     reps = classes.where("idx = rep").select("rep", "tokens")
-    rare = reps.select("rep", F.explode("tokens").alias("token"))
+    rare = reps.select("rep", F.explode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("token"))
     frequency = rare.groupBy("token").agg(F.count("*").alias("df"))
     ranked = rare.join(frequency, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"))
     size = F.size("ranked")
     head = F.slice("ranked", 1, size - F.expr(f"({percent} * size(ranked) + 99) div 100").cast("int") + 1)
-    prefix = checkpointed(ranked.select("rep", size.alias("n"), F.explode(head).alias("x")).select("rep", "n", "x.token"))
+    # a token that one set alone has joins nothing
+    prefix = checkpointed(ranked.select("rep", size.alias("n"), F.explode(F.filter(head, lambda x: x["df"] > 1)).alias("x")).select("rep", "n", "x.token"))
     a, b = prefix.alias("a"), prefix.alias("b")
     near = (F.col("a.token") == F.col("b.token")) & (F.col("a.rep") < F.col("b.rep"))
     near &= (100 * F.col("a.n") >= percent * F.col("b.n")) & (100 * F.col("b.n") >= percent * F.col("a.n"))
     found = a.join(b, near).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
-    sets = reps.select("rep", "tokens")
-    both = found.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a").join(
-        sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b"
+    both = found.join(reps.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a").join(
+        reps.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b"
     )
-    same, every = F.size(F.array_intersect("x", "y")), F.size(F.array_union("x", "y"))
-    return both.where(100 * same >= percent * every).select("a", "b", T.jaccard(F.col("x"), F.col("y")).alias("jaccard"))
+    counted = both.select("a", "b", (F.size("x") + F.size("y")).alias("sum"), F.explode(F.array(F.size(F.array_intersect("x", "y")))).alias("same"))
+    every = F.col("sum") - F.col("same")
+    return counted.where(100 * F.col("same") >= percent * every).select("a", "b", (F.col("same").cast("double") / every).alias("jaccard"))
 
 
 def greedy_removed(pairs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarrymill.functions import text as T
-from quarrymill.operators.order import running_total
+from quarrymill.operators.order import positions
 
 
 def union_in_order(*sources: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def merge_stats(qa: DataFrame) -> DataFrame:
 def balanced(qa: DataFrame) -> DataFrame:
     """The first N rows of each language, N being the smallest language's count."""
     counts = qa.groupBy("language").agg(F.count("*").alias("n"))
-    ranked = running_total(qa.select("language", "idx"), ["language", "idx"])
+    ranked = positions(qa.select("language", "idx"), ["language", "idx"])
     starts = ranked.groupBy("language").agg(F.min("before").alias("start"))
     least = counts.agg(F.min("n").alias("least"))
     place = ranked.join(F.broadcast(starts), "language").crossJoin(F.broadcast(least))  # one row per language, and one
@@ -46,7 +46,7 @@ def balanced(qa: DataFrame) -> DataFrame:
 def shuffled(rows: DataFrame, seed: int = 42) -> DataFrame:
     """idx and its position in an order by a hash of seed and idx, which any engine can compute."""
     keyed = rows.select("idx", F.md5(F.concat(F.lit(f"{seed}:"), F.col("idx").cast("string"))).alias("key"))
-    return running_total(keyed, ["key", "idx"], out="position").select("idx", "key", "position")
+    return positions(keyed, ["key", "idx"], "position").select("idx", "key", "position")
 
 
 def split(rows: DataFrame, test: float = 0.05, val: float = 0.15, seed: int = 42) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Positions and running totals over a whole table, without gathering it in one task."""
+"""Positions over a whole table, without gathering it in one task."""
 
 from __future__ import annotations
 
@@ -9,18 +9,23 @@ from pyspark.sql.window import Window
 from quarrymill.session import checkpointed
 
 
-def running_total(df: DataFrame, order: list[str], value: str | None = None, out: str = "before") -> DataFrame:
-    """Adds the sum of `value` (or the count) over all earlier rows.
+def positions(df: DataFrame, order: list[str], out: str = "before") -> DataFrame:
+    """Adds the number of earlier rows.
 
-    Rows are dealt by ranges of `order` and kept; each range sums its own, and the ranges' totals, one row each, are
-    summed and sent to all.
+    Rows are dealt by ranges of `order`, sorted and kept with Spark's own row numbers, whose upper part is the range and
+    whose lower one the place in it; the ranges' counts, one row each, are summed and sent to all.  There is one shuffle.
     """
-    one = F.lit(1).cast("bigint") if value is None else F.col(value)
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    dealt = checkpointed(dealt.withColumn("__part", F.spark_partition_id()).withColumn("__value", one))
-    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = dealt.groupBy("__part").agg(F.sum("__value").alias("n"))
-    base = parts.select("__part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__base"))
-    total = F.col("__base") + F.coalesce(F.sum("__value").over(inside), F.lit(0))
-    return dealt.join(F.broadcast(base), "__part").withColumn(out, total.cast("bigint")).drop("__part", "__value", "__base")
+    dealt = checkpointed(dealt.withColumn("__row", F.monotonically_increasing_id()))
+    part, place = F.shiftright("__row", 33), F.col("__row").bitwiseAND((1 << 33) - 1)
+    counts = dealt.groupBy(part.alias("__of")).agg(F.count("*").alias("n"))
+    earlier = Window.orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)  # over a row for each range
+    base = counts.select("__of", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__base"))
+    placed = dealt.join(F.broadcast(base), part == F.col("__of"))
+    return placed.withColumn(out, (F.col("__base") + place).cast("bigint")).drop("__row", "__of", "__base")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals out the rows of a scan that has fewer tasks than there are cores; a scan that has as many is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarrymill.operators.order import spread
+
 LANGUAGES = ("en", "fr")
 
 
@@ -14,13 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").alias("idx"), "text", "source", "lang")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").alias("idx"), "text", "source", "lang"), "doc_id")
 
 
 def doc_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A question of a document's first line, and the rest as its answer."""
     at = F.instr("text", "\n")
-    return table(spark, sf_dir, "documents").select(
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), "doc_id")
+    return rows.select(
         F.col("doc_id").alias("idx"), F.substring_index("text", "\n", 1).alias("instruction"),
         F.when(at > 0, F.substring("text", at + 1, F.lit(2**31 - 1))).otherwise("").alias("response"), "source",
         F.concat(F.lit("topic"), F.col("doc_id") % 4).alias("category"),

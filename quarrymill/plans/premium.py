@@ -2,40 +2,41 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.functions import gates as G
 from quarrymill.functions import text as T
 from quarrymill.operators import dedup, merge
+from quarrymill.plans import adapters
 from quarrymill.session import checkpointed
 
 
 def cleaned(qa: DataFrame, languages=("en", "fr")) -> DataFrame:
     """Rows of the languages with cleaned question and answer."""
-    parts = []
-    for language in languages:
-        rows = qa.where(F.col("language") == language)
-        parts.append(rows.select("idx", "language", *(T.clean_text(F.col(c), language).alias(n) for c, n in (("instruction", "q"), ("response", "a")))))
-    return reduce(DataFrame.unionByName, parts)
+    rows = qa.where(F.col("language").isin(*languages))
+    clean = (T.clean_text(F.col(c), F.col("language")).alias(n) for c, n in (("instruction", "q"), ("response", "a")))
+    return rows.select("idx", "language", *clean)
 
 
 def judged(rows: DataFrame, vocabularies: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Adds the first failing rule and the score."""
-    parts = []
-    for language, keywords in vocabularies.items():
-        part = rows.where(F.col("language") == language)
-        parts.append(part.withColumns({
-            "reason": G.cleaning_reason(F.col("q"), F.col("a"), keywords), "score": G.quality_score(F.col("q"), F.col("a"), keywords),
-        }))
-    return reduce(DataFrame.unionByName, parts)
+    """Adds the first failing rule and the score; rows of other languages are left out."""
+    rows = rows.where(F.col("language").isin(*vocabularies))
+    return rows.withColumns({
+        "reason": G.cleaning_reason(F.col("q"), F.col("a"), vocabularies, F.col("language")),
+        "score": G.quality_score(F.col("q"), F.col("a"), vocabularies, F.col("language")),
+    })
 
 
 def premium(qa: DataFrame, vocabularies: dict[str, tuple[str, ...]], least: float = 7.0, percent: int = 85) -> DataFrame:
-    """idx, language, q, a, score of what remains: exact and near-duplicate questions go, languages are balanced."""
-    good = judged(cleaned(qa, tuple(vocabularies)), vocabularies).where(F.col("reason").isNull() & (F.col("score") >= least))
+    """idx, language, q, a, score of what remains: chats of another shape than question and answer go, then what a rule
+    rejects or scores below `least`, then exact and near-duplicate questions; languages are balanced.
+
+    Cleaned texts are kept, so that rules and score read them and do not clean again.
+    """
+    chats = adapters.chat(qa).where(~G.structure_failed(F.col("messages")))
+    clean = checkpointed(cleaned(chats, tuple(vocabularies)))
+    good = judged(clean, vocabularies).where(F.col("reason").isNull() & (F.col("score") >= least))
     good = checkpointed(good.select("idx", "language", "q", "a", "score"))
     first = dedup.first_of_key(good.withColumn("key", F.concat_ws(":", "language", T.fuzzy_hash(F.col("q")))), "key").select("idx")
     rows = good.join(first, "idx", "left_semi")

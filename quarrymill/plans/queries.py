@@ -14,6 +14,7 @@ from quarrymill.operators import chunk, dedup, merge, profile, search
 from quarrymill.plans import adapters as A
 from quarrymill.plans import premium as M
 from quarrymill.plans import sql as S
+from quarrymill.session import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,7 +55,9 @@ def _(spark, d):
 @query("doc_clean_filter", f"""SELECT doc_id, cleaned, CAST({S.wc('cleaned')} AS BIGINT) AS word_count
   FROM (SELECT doc_id, {S.document('text')} AS cleaned FROM documents) WHERE length(cleaned) > 200""")
 def _(spark, d):
-    rows = A.docs(spark, d).select("doc_id", T.clean_document(F.col("text")).alias("cleaned")).where(F.length("cleaned") > 200)
+    # an exploded array: a filter on a column would clean once more
+    long = F.filter(F.array(T.clean_document(F.col("text"))), lambda c: F.length(c) > 200)
+    rows = A.docs(spark, d).select("doc_id", F.explode(long).alias("cleaned"))
     return rows.withColumn("word_count", T.word_count(F.col("cleaned")))
 
 
@@ -346,7 +349,7 @@ _JUDGED = f"{S.DOC_QA}, {S.clean_languages(*A.LANGUAGES)}, {S.judged(SUBJECT)}"
 
 
 def _judged(spark, d):
-    return M.judged(M.cleaned(A.doc_qa(spark, d)), SUBJECT)
+    return M.judged(checkpointed(M.cleaned(A.doc_qa(spark, d))), SUBJECT)
 
 
 @query("clean_reasons", f"WITH {_JUDGED} SELECT language, coalesce(reason, 'kept') AS reason, count(*) AS n FROM jd GROUP BY 1, 2")
@@ -396,7 +399,7 @@ def _(spark, d):
 
 @query("near_dup_pairs", f"WITH {_NEAR} SELECT a, b, jaccard FROM np")
 def _(spark, d):
-    return dedup.near_pairs(dedup.set_classes(A.docs(spark, d)))
+    return dedup.near_pairs(checkpointed(dedup.set_classes(A.docs(spark, d))))
 
 
 @query("near_dup_greedy", f"""WITH RECURSIVE {_NEAR}, {S.GREEDY} SELECT doc_id AS idx, NOT coalesce(ns.idx <> ns.rep OR ns.rep IN (SELECT id FROM out), false) AS kept
