@@ -1,4 +1,8 @@
-"""Questions and answers from a generator's JSON-like outputs."""
+"""Questions and answers from a generator's JSON-like outputs.
+
+An output is scanned for JSON values with Python's own decoder: the first list of objects, or else every object that has
+both a question and an answer.
+"""
 
 from __future__ import annotations
 
@@ -9,42 +13,56 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-_ARRAY = re.compile(r"\[\s*\{.*?\}\s*\]", re.DOTALL)
-_OBJECT = re.compile(r'\{[^{}]*?"instruction"[^{}]*?"response"[^{}]*?\}', re.DOTALL)
+FIELDS = ("instruction", "response", "category", "difficulty")
+DEFAULTS = ("", "", "general", "intermediate")
+
+_DECODER = json.JSONDecoder()
+_CONTROLS = dict.fromkeys([*range(0x20), *range(0x7F, 0xA0)])
+#: A string, or a comma with nothing but white space before a closing bracket.
+_STRING_OR_COMMA = re.compile(r'"(?:[^"\\]|\\.)*"|,\s*(?=[\]}])')
+_LIST = re.compile(r"\[\s*\{")
+
 
+def readable(output: str | None, keep_quotes: bool = True) -> str:
+    """The output without code fences, control characters and commas that close a list.
 
-def mended(text: str, strict: bool = False) -> str:
-    """Without trailing commas, escapes of quotes (unless strict) and control characters."""
-    text = re.sub(r",(\s*[\]}])", r"\1", text)
-    if not strict:
+    Unless `keep_quotes`, escaped quotes become bare ones, as the rule that is reproduced here has it; texts with quotes
+    can't be read then.
+    """
+    text = (output or "").replace("```json", "").replace("```", "")
+    if not keep_quotes:
         text = text.replace('\\"', '"')
-    return re.sub(r"[\x00-\x1f\x7f-\x9f]", "", text).strip()
+    return _STRING_OR_COMMA.sub(lambda m: "" if m[0][0] == "," else m[0], text.translate(_CONTROLS))
 
 
-def _loaded(text: str, strict: bool):
+def _value_at(text: str, place: int):
     try:
-        return json.loads(mended(text, strict))
+        return _DECODER.raw_decode(text, place)
     except ValueError:
-        return None
+        return None, place
 
 
 def pairs(output: str | None, strict: bool = False) -> list[dict]:
-    """Objects of the first array; where that gives none, single objects that hold both fields."""
-    text = re.sub(r"```(?:json)?\s*", "", output or "").strip()
+    """Objects of the first list of objects, those one list further in too; else the single objects with both fields.
+
+    If `strict`, escaped quotes stay as JSON has them.
+    """
+    text = readable(output, strict)
     found: list[dict] = []
-    if match := _ARRAY.search(text):
-        loaded = _loaded(match.group(0), strict)
-        for item in loaded if isinstance(loaded, list) else []:
+    if start := _LIST.search(text):
+        for item in _value_at(text, start.start())[0] or ():
             found += [x for x in (item if isinstance(item, list) else [item]) if isinstance(x, dict)]
-    if not found:
-        objects = (_loaded(x, strict) for x in _OBJECT.findall(text))
-        found = [x for x in objects if isinstance(x, dict) and "instruction" in x and "response" in x]
+    place = text.find("{") if not found else -1
+    while place >= 0:
+        value, end = _value_at(text, place)
+        if isinstance(value, dict) and {"instruction", "response"} <= value.keys():
+            found.append(value)
+        else:
+            end = place + 1
+        place = text.find("{", end)
     return found
 
 
-FIELDS = ("instruction", "response", "category", "difficulty")
-
-
 def parsed(df: DataFrame, output: str, *keep: str, strict: bool = False) -> DataFrame:
     """A row for each pair of each output; missing category and difficulty get their defaults."""
 
@@ -53,8 +71,7 @@ def parsed(df: DataFrame, output: str, *keep: str, strict: bool = False) -> Data
             rows = []
             for given in frame.itertuples(index=False):
                 for i, x in enumerate(pairs(getattr(given, output), strict)):
-                    values = [str(x.get(f, d)) for f, d in zip(FIELDS, ("", "", "general", "intermediate"))]
-                    rows.append([*(getattr(given, c) for c in keep), i, *values])
+                    rows.append([*(getattr(given, c) for c in keep), i, *(str(x.get(f, d)) for f, d in zip(FIELDS, DEFAULTS))])
             yield pd.DataFrame(rows, columns=[*keep, "pair", *FIELDS])
 
     kinds = dict(df.dtypes)

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from quarrymill.functions import text as T
 from quarrymill.operators.order import positions
+from quarrymill.session import checkpointed
 
 
 def union_in_order(*sources: DataFrame) -> DataFrame:
@@ -57,3 +58,44 @@ def split(rows: DataFrame, test: float = 0.05, val: float = 0.15, seed: int = 42
     n_val = math.ceil(val / (1 - test) * (n - n_test) - 1e-9)
     kind = F.when(F.col("position") < n_test, "test").when(F.col("position") < n_test + n_val, "val").otherwise("train")
     return placed.select("idx", kind.alias("split"))
+
+
+def comprehensive_stats(merged: DataFrame, **sizes: DataFrame) -> DataFrame:
+    """section, key, value: totals, languages, lengths by language, histograms of the fields that any row has,
+    augmentation ratio, long answers, and the sizes of the named inputs.
+
+    Every row counts for each of its sections in one aggregate, combined before the shuffle.
+    """
+    w, q, p = T.word_count(F.col("response")), T.word_count(F.col("instruction")), T.period_count(F.col("response"))
+    fields = {"categories": ("category", "unknown"), "difficulties": ("difficulty", "unknown"), "augmentation_types": ("augmentation_type", "original")}
+    pair = lambda section, key, there=True: F.struct(F.lit(section).alias("section"), key.alias("key"), F.lit(there).alias("there"))
+    of = [pair("all", F.lit("")), pair("languages", F.coalesce("language", F.lit("unknown")))]
+    for section, (field, missing) in fields.items():
+        if field in merged.columns:
+            of.append(F.struct(F.lit(section).alias("section"), F.coalesce(field, F.lit(missing)).alias("key"), F.col(field).isNotNull().alias("there")))
+    each = merged.select(q.alias("q"), w.alias("w"), p.alias("p"), F.explode(F.array(*of)).alias("of")).groupBy("of.section", "of.key").agg(
+        F.count("*").alias("n"), F.sum("q").alias("q"), F.sum("w").alias("w"), F.avg("p").alias("p"), F.min("w").alias("low"),
+        F.max("w").alias("high"), F.bool_or("of.there").alias("there"), *(F.count_if(F.col("w") >= k).alias(f"over_{k}") for k in (60, 80, 100)),
+    )
+    each = checkpointed(each)  # a row for each value
+    total = F.broadcast(each.where("section = 'all'").select(F.col("n").alias("total"), "over_60", "over_80", "over_100"))
+    any_of = F.broadcast(each.groupBy("section").agg(F.bool_or("there").alias("any")))
+    row = lambda section, key, value: F.struct(F.lit(section).alias("section"), F.lit(key).alias("key"), F.expr(value).cast("double").alias("value"))
+
+    def exploded(df: DataFrame, *rows: F.Column) -> DataFrame:
+        return df.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+    counts = each.join(any_of, "section").where("section <> 'all' and any").select("section", "key", F.col("n").cast("double").alias("value"))
+    by_language = each.where("section = 'languages'")
+    share = by_language.crossJoin(total.select("total")).selectExpr("'language_percentages' as section", "key", "cast(n * 100.0D / total as double) as value")
+    lengths = exploded(by_language, *(
+        F.struct(F.concat(F.lit("length_"), "key").alias("section"), F.lit(k).alias("key"), F.expr(v).cast("double").alias("value")) for k, v in (
+            ("count", "n"), ("avg_instruction_words", "q div n"), ("avg_response_words", "w div n"), ("avg_response_sentences", "p"),
+            ("min_response_words", "low"), ("max_response_words", "high"))
+    ))
+    quality = exploded(total, row("total", "pairs", "total"), *(row("quality", f"pairs_above_{k}_words", f"over_{k}") for k in (60, 80, 100)),
+                       row("quality", "high_quality_percentage", "over_60 * 100.0D / total"))
+    ratio = each.join(any_of, "section").where("section = 'augmentation_types' and any and key = 'original'").crossJoin(total.select("total"))
+    ratio = ratio.selectExpr("'composition' as section", "'augmentation_ratio' as key", "cast(total / n as double) as value")
+    given = [df.agg(F.count("*").cast("double").alias("value")).select(F.lit("original_sizes").alias("section"), F.lit(k).alias("key"), "value") for k, df in sizes.items()]
+    return reduce(DataFrame.unionByName, [counts, share, lengths, quality, ratio, *given])

@@ -80,6 +80,60 @@ def diagnostics(qa: DataFrame) -> DataFrame:
     return sizes.crossJoin(F.broadcast(twice))  # one row each
 
 
+def dataset_stats(qa: DataFrame, by: str = "language") -> DataFrame:
+    """Per dataset: rows, and floor average, least and most words of questions and answers."""
+    q, a = T.word_count(F.col("instruction")), T.word_count(F.col("response"))
+    found = qa.groupBy(by).agg(F.count("*").alias("total_pairs"), *(
+        f(c).alias(f"{k}_{n}") for n, c in (("instruction_words", q), ("response_words", a)) for k, f in (("sum", F.sum), ("min", F.min), ("max", F.max))
+    ))
+    names = [f"{k}_{n}" for n in ("instruction_words", "response_words") for k in ("min", "max")]
+    averages = [F.expr(f"sum_{n} div total_pairs").alias(f"avg_{n}") for n in ("instruction_words", "response_words")]
+    return found.select(by, "total_pairs", *averages, *names)
+
+
+def fields_present(rows: DataFrame, *fields: str) -> DataFrame:
+    """field, present: whether any row has it; a column that is not there is in none."""
+    there = [F.struct(F.lit(f).alias("field"), (F.coalesce(F.bool_or(F.col(f).isNotNull()), F.lit(False)) if f in rows.columns else F.lit(False)).alias("present")) for f in fields]
+    return rows.agg(F.array(*there).alias("all"), F.count("*").alias("n")).select(F.explode("all").alias("s")).select("s.*")
+
+
+def run_counters(items: DataFrame, pairs: DataFrame, item: str) -> DataFrame:
+    """One row: items, those that gave a pair and those that gave none, the success rate in percent, pairs, their floor
+    average per successful item, and pairs per item."""
+    good = pairs.groupBy(item).agg(F.count("*").alias("made"))
+    each = items.select(item).distinct().join(good, item, "left")
+    found = each.agg(F.count("*").alias("completed"), F.count_if(F.col("made").isNull()).alias("failed"), F.coalesce(F.sum("made"), F.lit(0)).alias("pairs"))
+    return found.selectExpr(
+        "completed", "completed - failed as succeeded", "failed", "(completed - failed) * 100.0D / completed as success_rate", "pairs",
+        "pairs div greatest(1, completed - failed) as avg_per_item", "cast(pairs as double) / completed as expansion",
+    )
+
+
+def rejections(judged: DataFrame, reason: str = "reason") -> DataFrame:
+    """One row: attempts, accepted, rejected and the acceptance rate in percent; `ok` is an accepted attempt."""
+    ok = F.count_if(F.col(reason) == "ok")
+    found = judged.agg(F.count("*").alias("attempts"), ok.alias("accepted"))
+    return found.selectExpr("attempts", "accepted", "attempts - accepted as rejected", "accepted * 100.0D / greatest(1, attempts) as acceptance_rate")
+
+
+def top_reasons(judged: DataFrame, n: int = 5, reason: str = "reason") -> DataFrame:
+    """The n most frequent reasons of rejection, by name among equals; a number at a reason's end is no part of its name."""
+    name = F.regexp_replace(reason, "_-?[0-9.]+$", "").alias("reason")
+    return judged.where(F.col(reason) != "ok").groupBy(name).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason").limit(n)
+
+
+def row_at(rows: DataFrame, place: int, *order: str) -> DataFrame:
+    """The row at a place in the order, or the last if there are fewer; no more than place + 1 rows are gathered."""
+    first = rows.orderBy(*order).limit(place + 1)
+    return first.orderBy(*(F.desc(c) for c in order)).limit(1)
+
+
+def sample_of_each(rows: DataFrame, by: str, seed: int = 42, key: str = "idx") -> DataFrame:
+    """One row of each group, chosen by a hash of seed and key."""
+    mark = F.struct(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), F.col(key))
+    return rows.groupBy(by).agg(F.min_by(F.struct(*rows.columns), mark).alias("r")).select("r.*")
+
+
 def report_bars(rows: DataFrame, percent: str = "percent") -> DataFrame:
     """Adds a text bar of one block for every two percent."""
     return rows.withColumn("bar", F.repeat(F.lit("█"), (F.col(percent) / 2).cast("int")))

@@ -6,7 +6,9 @@ Real services are not implemented; `Generator` is where they go.
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
@@ -16,9 +18,15 @@ from pyspark.sql import functions as F
 from quarrymill.functions import gates as G
 from quarrymill.functions import outputs
 from quarrymill.functions import text as T
-
-#: Kind of question and its level, for each strategy.
-STRATEGIES = (("definition", "beginner"), ("process", "intermediate"), ("problem-solving", "advanced"), ("comparison", "intermediate"))
+from quarrymill.session import checkpointed
+
+#: Kind of question, its level and the task, for each strategy.
+STRATEGIES = (
+    ("definition", "beginner", "Ask what the central notions mean and explain each with an example."),
+    ("process", "intermediate", "Ask how the steps described here are carried out, and answer step by step."),
+    ("problem-solving", "advanced", "Put a situation that needs a decision, and work out its solution."),
+    ("comparison", "intermediate", "Ask how two things named here differ, and weigh them against each other."),
+)
 SHOWN = 2000
 
 
@@ -37,10 +45,10 @@ def local_generator(prompt: str, attempt: int) -> str:
 
 
 def prompts(chunks: DataFrame, shown: int = SHOWN) -> DataFrame:
-    """A prompt for each chunk and strategy."""
-    kinds = F.array(*(F.struct(F.lit(a).alias("category"), F.lit(b).alias("difficulty")) for a, b in STRATEGIES))
+    """A prompt for each chunk and strategy, each with its own task."""
+    kinds = F.array(*(F.struct(F.lit(a).alias("category"), F.lit(b).alias("difficulty"), F.lit(c).alias("task")) for a, b, c in STRATEGIES))
     rows = chunks.withColumn("kind", F.explode(kinds))
-    text = F.format_string("Write questions and answers (%s, %s) on this text as a JSON array:\n%s", "kind.category", "kind.difficulty", F.substring("text", 1, shown))
+    text = F.format_string("%s Questions and answers (%s, %s) as a JSON array, on this text:\n%s", "kind.task", "kind.category", "kind.difficulty", F.substring("text", 1, shown))
     return rows.select("chunk_id", "document", "kind.category", "kind.difficulty", text.alias("prompt"))
 
 
@@ -95,9 +103,107 @@ def translated(rows: DataFrame, translator: Callable[[str], str], *columns: str,
     return rows.mapInPandas(run, ", ".join(f"{c} {t}" for c, t in rows.dtypes) + added + ", status string")
 
 
-def rewritten_questions(qa: DataFrame, generator: Generator) -> DataFrame:
-    """Paraphrased questions with their old answers, and the gate's reason (null: accepted)."""
-    asked = qa.withColumn("prompt", F.concat(F.lit("Rewrite this question using different words:\n\n"), F.col("instruction")))
-    made = generated(asked, generator).withColumn("q", T.clean_generated_question(F.col("output"))).where("q is not null")
-    reason = G.variation_reason(F.col("q"), F.col("response"), F.col("instruction"), F.col("response"))
-    return made.withColumn("reason", reason).drop("prompt", "output")
+def paragraphs_kept(text: F.Column, least: int = 20) -> F.Column:
+    """Paragraphs of a text that are worth a translation."""
+    return F.filter(F.split(text, "\n\n", -1), lambda p: F.length(T.strip(p)) >= least)
+
+
+def translated_documents(rows: DataFrame, translator: Callable[[str], str], text: str = "text", language: str = "detected", width: int = 4500) -> DataFrame:
+    """Adds `translated`: the text as it is where the language is English, else its paragraphs of 20 characters and more,
+    each translated in parts of `width` characters; a paragraph with a part that fails is left out."""
+    columns = rows.columns
+
+    def one(paragraph: str) -> str | None:
+        try:
+            return " ".join(translator(paragraph[i : i + width]) for i in range(0, len(paragraph), width))
+        except Exception:  # a service's failure
+            return None
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = []
+            for given, lang, parts in zip(frame[text], frame[language], frame["__parts"]):
+                done = [one(p) for p in parts] if parts is not None and lang != "english" else []
+                found.append(given if lang == "english" else "\n\n".join(x for x in done if x is not None))
+            yield frame[columns].assign(translated=found)
+
+    parts = rows.withColumn("__parts", F.when(F.col(language) != "english", paragraphs_kept(F.col(text))))
+    return parts.mapInPandas(run, ", ".join(f"{c} {t}" for c, t in rows.dtypes) + ", translated string")
+
+
+def translated_pairs(qa: DataFrame, translator: Callable[[str], str], width: int = 4500) -> DataFrame:
+    """Both fields translated, and `ok`: no part failed, and the translations are long enough."""
+    made = translated(qa, translator, "instruction", "response", width=width)
+    long_enough = G.translation_ok(F.col("instruction_translated"), F.col("response_translated"))
+    return made.withColumn("ok", (F.col("status") == "ok") & long_enough)
+
+
+def backing_off(call: Callable[[str], str | None], attempts: int = 3, pause: float = 2.0, factor: float = 1.5, sleep=time.sleep) -> Generator:
+    """A generator that calls a service again after a failure (an exception, or None), with growing pauses; an empty answer
+    is an answer."""
+
+    def generator(prompt: str, attempt: int) -> str:
+        wait = pause
+        for i in range(attempts):
+            try:
+                found = call(prompt)
+            except Exception:  # a service's failure
+                found = None
+            if found is not None:
+                return found.strip()
+            if i < attempts - 1:
+                sleep(wait)
+                wait *= factor
+        return ""
+
+    return generator
+
+
+#: Ways to vary a pair: the prompt, and what becomes of the output.
+VARIATIONS = ("professional_paraphrase", "expert_reformulation", "contextual_variation")
+
+
+def variation_prompt(strategy: F.Column) -> F.Column:
+    q, a = F.col("instruction"), F.col("response")
+    say = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    return (
+        F.when(strategy == VARIATIONS[0], say("Put this question in other words and write nothing else:\n\n", q))
+        .when(strategy == VARIATIONS[1], say("Put this answer in other words and keep all it says.\n\nQuestion: ", q, "\n\nAnswer:\n", a))
+        .otherwise(say("Write this question and answer anew, with an example from practice.\n\nQuestion: ", q, "\nAnswer: ", a, "\n\nNew question:"))
+    )
+
+
+def varied(strategy: F.Column, output: F.Column) -> F.Column:
+    """Struct q, a of the new pair; null where the output is of no use."""
+    pair = lambda x, y: F.struct(x.alias("q"), y.alias("a"))
+    of = lambda value, made: T.let(value, lambda x: F.when(x.isNotNull(), made(x)))
+    return (
+        F.when(strategy == VARIATIONS[0], of(T.clean_generated_question(output), lambda q: pair(q, F.col("response"))))
+        .when(strategy == VARIATIONS[1], of(T.clean_generated_answer(output), lambda a: pair(F.col("instruction"), a)))
+        .when(strategy == VARIATIONS[2], of(T.split_question_answer(output), lambda x: pair(x["instruction"], x["response"])))
+    )
+
+
+def augmented(qa: DataFrame, generator: Generator, key: str = "idx", strategies=VARIATIONS, attempts: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Accepted variations (key, augmentation_type, attempt, instruction, response) and all attempts (key,
+    augmentation_type, attempt, reason: `ok`, `generation_failed`, or the gate's).
+
+    Each strategy is tried until a variation is accepted: round after round works on what was not, all rows at once.
+    """
+    kinds = F.explode(F.array(*map(F.lit, strategies))).alias("augmentation_type")
+    waiting = qa.select(key, "instruction", "response", kinds)
+    accepted, judged = [], []
+    for attempt in range(attempts):
+        asked = waiting.withColumn("prompt", variation_prompt(F.col("augmentation_type")))
+        made = generated(asked, lambda p, i, k=attempt: generator(p, k), 1)
+        new = varied(F.col("augmentation_type"), F.col("output"))
+        made = made.select(*waiting.columns, F.explode(F.array(new)).alias("new"))  # made once, judged by many rules
+        reason = G.variation_reason(F.col("new.q"), F.col("new.a"), F.col("instruction"), F.col("response"))
+        reason = F.when(F.col("new").isNull(), "generation_failed").otherwise(F.coalesce(reason, F.lit("ok")))
+        made = checkpointed(made.select(*waiting.columns, "new", reason.alias("reason")))
+        judged.append(made.select(key, "augmentation_type", F.lit(attempt).alias("attempt"), "reason"))
+        accepted.append(made.where("reason = 'ok'").select(
+            key, "augmentation_type", F.lit(attempt).alias("attempt"), F.col("new.q").alias("instruction"), F.col("new.a").alias("response")
+        ))
+        waiting = made.where("reason <> 'ok'").select(*waiting.columns)
+    return reduce(DataFrame.unionByName, accepted), reduce(DataFrame.unionByName, judged)

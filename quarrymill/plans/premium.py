@@ -44,3 +44,14 @@ def premium(qa: DataFrame, vocabularies: dict[str, tuple[str, ...]], least: floa
     stays = checkpointed(stays.select("idx"))
     places = merge.balanced(rows.select("idx", "language").join(stays, "idx", "left_semi"))
     return good.join(places.select("idx"), "idx", "left_semi")
+
+
+def metadata(kept: DataFrame, least: float = 7.0, percent: int = 85, words: int = 20) -> DataFrame:
+    """One row on a cleaned set: rows by language, thresholds, average scores."""
+    of = lambda language: F.col("language") == language
+    score = lambda language: F.coalesce(F.avg(F.when(of(language), F.col("score"))), F.lit(0.0))
+    return kept.agg(
+        F.count("*").alias("total_examples"), F.count_if(of("fr")).alias("french_examples"), F.count_if(of("en")).alias("english_examples"),
+        F.lit(least).alias("quality_threshold"), F.lit(percent / 100).alias("similarity_threshold"), F.lit(words).cast("bigint").alias("min_answer_words"),
+        score("fr").alias("avg_quality_score_fr"), score("en").alias("avg_quality_score_en"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,11 @@ from quarrymill.functions import outputs
 from quarrymill.functions import text as T
 from quarrymill.operators import chunk, dedup, merge, profile, search
 from quarrymill.plans import adapters as A
+from quarrymill.plans import generate
 from quarrymill.plans import premium as M
 from quarrymill.plans import sql as S
-from quarrymill.session import checkpointed
+from quarrymill.session import checkpoint_dir, checkpointed
+from quarrymill.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -259,18 +262,39 @@ def _(spark, d):
     return QUERIES["variation_gate"](spark, d).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("llm_output_parse")
-def _(spark, d):
-    """Pairs as a generator would write them, with fences, trailing commas and nested lists, and read back."""
+def _outputs(spark, d):
+    """Pairs as a generator would write them: fences, trailing commas, lists in lists, objects without a list."""
     pair = F.to_json(F.struct("instruction", "response", F.lit("topic").alias("category")))
-    made = F.concat(F.lit("Sure:\n```json\n["), pair, F.when(F.col("turn") % 2 == 0, ",").otherwise(""), F.lit("]\n```"))
-    rows = A.conv_qa(spark, d).select("conv_id", "turn", made.alias("output"))
-    return outputs.parsed(rows, "output", "conv_id", "turn", strict=True)
+    kind = F.col("turn") % 6
+    made = (
+        F.when(kind == 0, F.concat(F.lit("Sure:\n```json\n["), pair, F.lit(",]\n```")))
+        .when(kind == 2, F.concat(F.lit("[{\"x\": 1}, ["), pair, F.lit("]]")))
+        .otherwise(F.concat(F.lit("First "), pair, F.lit(" then {broken} {\"instruction\": 1}")))
+    )
+    return A.conv_qa(spark, d).select("conv_id", "turn", made.alias("output"))
+
 
+def _parsed_sql(readable: str) -> str:
+    clean = lambda c: f"regexp_replace({c}, '[\\x{{7f}}-\\x{{9f}}]', '', 'g') AS {c}"
+    return f"""WITH {S.CONV_QA}, r AS (SELECT conv_id, turn, turn % 6 AS k, {clean('instruction')}, {clean('response')} FROM conv_qa), g AS (SELECT * FROM r WHERE {readable})
+      SELECT conv_id, turn, CAST(CASE WHEN k = 2 THEN 1 ELSE 0 END AS BIGINT) AS pair, instruction, response, 'topic' AS category, 'intermediate' AS difficulty FROM g
+      UNION ALL SELECT conv_id, turn, 0, '', '', 'general', 'intermediate' FROM g WHERE k = 2"""
 
-@query("free_text_qa_split")
+
+@query("llm_output_parse", _parsed_sql("true"))
 def _(spark, d):
-    rows = A.docs(spark, d).select("doc_id", T.split_question_answer(F.col("text")).alias("qa")).where("qa is not null")
+    return outputs.parsed(_outputs(spark, d), "output", "conv_id", "turn", strict=True)
+
+
+@query("llm_output_parse_bare_quotes", _parsed_sql("NOT contains(instruction || response, '\"')"))
+def _(spark, d):
+    """By the rule that makes escaped quotes bare, after which texts with quotes can't be read."""
+    return outputs.parsed(_outputs(spark, d), "output", "conv_id", "turn")
+
+
+@query("free_text_qa_split", S.free_text())
+def _(spark, d):
+    rows = A.docs(spark, d).select("doc_id", F.explode(F.array(T.split_question_answer(F.col("text")))).alias("qa")).where("qa is not null")
     return rows.select("doc_id", "qa.instruction", "qa.response")
 
 
@@ -434,3 +458,187 @@ def _(spark, d):
   SELECT idx, language, q, a, score FROM kp WHERE k <= (SELECT min(n) FROM (SELECT count(*) AS n FROM kp GROUP BY language))""")
 def _(spark, d):
     return M.premium(A.doc_qa(spark, d), SUBJECT)
+
+
+def _shapes(spark, d):
+    """Chats of six shapes, one of which is question and answer."""
+    m = F.struct(F.lit("user").alias("role"), F.col("instruction").alias("content"))
+    r = F.struct(F.lit("assistant").alias("role"), F.col("response").alias("content"))
+    kind, other = F.col("idx") % 6, F.struct(F.lit("system").alias("role"), F.lit("x").alias("content"))
+    shape = F.when(kind == 1, F.array(r, m)).when(kind == 2, F.array(m, r, m)).when(kind == 3, F.array(m)).when(kind == 4, F.lit(None)).when(kind == 5, F.array(other, r))
+    return A.doc_qa(spark, d).select("idx", shape.otherwise(F.array(m, r)).alias("messages"))
+
+
+@query("chat_structure", f"WITH {S.DOC_QA} SELECT idx, NOT (idx % 6 = 0 AND instruction <> '' AND response <> '') AS failed FROM doc_qa")
+def _(spark, d):
+    return _shapes(spark, d).select("idx", G.structure_failed(F.col("messages")).alias("failed"))
+
+
+_AUG = f"""{S.DOC_QA}, base AS (SELECT idx, instruction, response, category, CASE WHEN idx % 5 = 0 THEN NULL ELSE difficulty END AS difficulty, language,
+  CAST(NULL AS VARCHAR) AS augmentation_type FROM doc_qa WHERE language IN ('en', 'fr')),
+  mg AS (SELECT * FROM base UNION ALL SELECT idx, 'In other words: ' || instruction, response, category, difficulty, language, 'professional_paraphrase' FROM base WHERE idx % 3 = 0),
+  w AS (SELECT *, {S.wc('instruction')} AS q, {S.wc('response')} AS w, {S.periods('response')} AS p FROM mg)"""
+
+
+def _augmented(spark, d):
+    base = A.doc_qa(spark, d).where("language in ('en', 'fr')").select(
+        "idx", "instruction", "response", "category", F.when(F.col("idx") % 5 != 0, F.col("difficulty")).alias("difficulty"), "language",
+        F.lit(None).cast("string").alias("augmentation_type"),
+    )
+    new = base.where("idx % 3 = 0").withColumns({
+        "instruction": F.concat(F.lit("In other words: "), "instruction"), "augmentation_type": F.lit("professional_paraphrase")
+    })
+    return merge.union_in_order(base, new)
+
+
+@query("original_and_augmented", f"WITH {_AUG} SELECT idx, language, coalesce(augmentation_type, 'original') AS kind, instruction FROM mg")
+def _(spark, d):
+    return _augmented(spark, d).select("idx", "language", F.coalesce("augmentation_type", F.lit("original")).alias("kind"), "instruction")
+
+
+def _long(section: str, stats: str, source: str) -> str:
+    return " UNION ALL ".join(f"SELECT {section} AS section, '{k}' AS key, CAST({v} AS DOUBLE) AS value FROM {source}" for k, v in (x.split("=", 1) for x in stats.split(";")))
+
+
+_HISTOGRAMS = " UNION ALL ".join(
+    f"SELECT '{s}', coalesce({f}, '{m}'), CAST(count(*) AS DOUBLE) FROM w WHERE EXISTS (SELECT 1 FROM w WHERE {f} IS NOT NULL) GROUP BY 2"
+    for s, f, m in (("languages", "language", "unknown"), ("categories", "category", "unknown"), ("difficulties", "difficulty", "unknown"), ("augmentation_types", "augmentation_type", "original"))
+)
+
+
+@query("comprehensive_stats", f"""WITH {_AUG}, l AS (SELECT language, count(*) AS n, sum(q) // count(*) AS q, sum(w) // count(*) AS a, avg(p) AS p, min(w) AS low, max(w) AS high FROM w GROUP BY 1),
+  t AS (SELECT count(*) AS n, count(*) FILTER (WHERE w >= 60) AS a, count(*) FILTER (WHERE w >= 80) AS b, count(*) FILTER (WHERE w >= 100) AS c, count(*) FILTER (WHERE augmentation_type IS NULL) AS o FROM w)
+  {_long("'total'", "pairs=n", "t")} UNION ALL {_HISTOGRAMS}
+  UNION ALL SELECT 'language_percentages', language, n * 100.0::DOUBLE / (SELECT n FROM t) FROM l
+  UNION ALL {_long("'length_' || language", "count=n;avg_instruction_words=q;avg_response_words=a;avg_response_sentences=p;min_response_words=low;max_response_words=high", "l")}
+  UNION ALL {_long("'quality'", "pairs_above_60_words=a;pairs_above_80_words=b;pairs_above_100_words=c;high_quality_percentage=a * 100.0::DOUBLE / n", "t")}
+  UNION ALL SELECT 'composition', 'augmentation_ratio', n / o FROM t WHERE o > 0 AND o < n
+  UNION ALL SELECT 'original_sizes', CASE language WHEN 'en' THEN 'english' ELSE 'french' END, count(*) FROM base GROUP BY language""")
+def _(spark, d):
+    rows = _augmented(spark, d)
+    base = rows.where("part = 0")
+    return merge.comprehensive_stats(rows, english=base.where("language = 'en'"), french=base.where("language = 'fr'"))
+
+
+@query("dataset_stats", f"""WITH {_AUG} SELECT language, count(*) AS total_pairs, CAST(sum(q) // count(*) AS BIGINT) AS avg_instruction_words, CAST(sum(w) // count(*) AS BIGINT) AS avg_response_words,
+  CAST(min(q) AS BIGINT) AS min_instruction_words, CAST(max(q) AS BIGINT) AS max_instruction_words, CAST(min(w) AS BIGINT) AS min_response_words, CAST(max(w) AS BIGINT) AS max_response_words FROM w GROUP BY 1""")
+def _(spark, d):
+    return profile.dataset_stats(_augmented(spark, d))
+
+
+@query("fields_present", f"WITH {_AUG} " + " UNION ALL ".join(
+    f"SELECT '{f}' AS field, bool_or({f} IS NOT NULL) AS present FROM mg" for f in ("category", "difficulty", "augmentation_type")) + " UNION ALL SELECT 'quality_level', false")
+def _(spark, d):
+    return profile.fields_present(_augmented(spark, d), "category", "difficulty", "augmentation_type", "quality_level")
+
+
+_REASONS = f"{S.VARIATIONS}, vr AS (SELECT conv_id, coalesce({S.variation()}, 'ok') AS reason FROM v)"
+
+
+@query("variation_rollup", f"""WITH {_REASONS} SELECT count(*) AS attempts, count(*) FILTER (WHERE reason = 'ok') AS accepted, count(*) FILTER (WHERE reason <> 'ok') AS rejected,
+  count(*) FILTER (WHERE reason = 'ok') * 100.0::DOUBLE / greatest(1, count(*)) AS acceptance_rate FROM vr""")
+def _(spark, d):
+    return profile.rejections(QUERIES["variation_gate"](spark, d))
+
+
+@query("top_rejection_reasons", f"WITH {_REASONS} SELECT reason, count(*) AS n FROM vr WHERE reason <> 'ok' GROUP BY 1 ORDER BY n DESC, reason LIMIT 5")
+def _(spark, d):
+    return profile.top_reasons(QUERIES["variation_gate"](spark, d))
+
+
+_MADE = f"""{S.CONV_QA}, t AS (SELECT conv_id, {S.strip('instruction')} AS q, {S.strip('response')} AS a FROM conv_qa), good AS (SELECT conv_id, count(*) AS made FROM t WHERE {S.generation('q', 'a')} GROUP BY 1)"""
+
+
+@query("run_counters", f"""WITH {_MADE}, e AS (SELECT DISTINCT conv_id FROM conv_qa) SELECT count(*) AS completed, count(made) AS succeeded, count(*) - count(made) AS failed,
+  count(made) * 100.0::DOUBLE / count(*) AS success_rate, CAST(coalesce(sum(made), 0) AS BIGINT) AS pairs, CAST(coalesce(sum(made), 0) // greatest(1, count(made)) AS BIGINT) AS avg_per_item,
+  CAST(coalesce(sum(made), 0) AS DOUBLE) / count(*) AS expansion FROM e LEFT JOIN good USING (conv_id)""")
+def _(spark, d):
+    return profile.run_counters(A.conv_qa(spark, d), QUERIES["qa_generation_gate"](spark, d), "conv_id")
+
+
+@query("cleaning_metadata", f"""SELECT count(*) AS total_examples, count(*) FILTER (WHERE language = 'fr') AS french_examples, count(*) FILTER (WHERE language = 'en') AS english_examples,
+  7.0::DOUBLE AS quality_threshold, 0.85::DOUBLE AS similarity_threshold, CAST(20 AS BIGINT) AS min_answer_words, coalesce(avg(score) FILTER (WHERE language = 'fr'), 0) AS avg_quality_score_fr,
+  coalesce(avg(score) FILTER (WHERE language = 'en'), 0) AS avg_quality_score_en FROM ({SQL["premium_pipeline"]})""")
+def _(spark, d):
+    return M.metadata(QUERIES["premium_pipeline"](spark, d))
+
+
+@query("positional_sample", f"WITH {_BEST}, o AS (SELECT coalesce(source, '') AS source, coalesce(category, '') AS category, first_idx, idx FROM best WHERE rn = 1 ORDER BY 1, 2, 3 LIMIT 6) SELECT * FROM o ORDER BY 1 DESC, 2 DESC, 3 DESC LIMIT 1")
+def _(spark, d):
+    rows = _best(spark, d).select(F.coalesce("source", F.lit("")).alias("source"), F.coalesce("category", F.lit("")).alias("category"), "first_idx", "idx")
+    return profile.row_at(rows, 5, "source", "category", "first_idx")
+
+
+@query("sample_per_language", f"WITH {S.DOC_QA}, r AS (SELECT language, idx, row_number() OVER (PARTITION BY language ORDER BY md5('42:' || idx), idx) AS k FROM doc_qa) SELECT language, idx FROM r WHERE k = 1")
+def _(spark, d):
+    return profile.sample_of_each(A.doc_qa(spark, d).select("language", "idx"), "language")
+
+
+def _marked(text: str) -> str:
+    """Stands for a translation service; fails on some texts."""
+    if "###" in text:
+        raise ValueError("not translated")
+    return f"<{text}>"
+
+
+_PARTS = "array_to_string(list_transform(range(0, length(p), 4500), lambda i: '<' || substr(p, CAST(i + 1 AS BIGINT), 4500) || '>'), ' ')"
+
+
+@query("translate_documents", f"""SELECT doc_id, CASE WHEN lang = 'en' THEN wide ELSE array_to_string(list_transform(list_filter(string_split(wide, chr(10) || chr(10)),
+  lambda p: length({S.strip('p')}) >= 20 AND len(list_filter(range(0, length(p), 4500), lambda i: contains(substr(p, CAST(i + 1 AS BIGINT), 4500), '###'))) = 0), lambda p: {_PARTS}), chr(10) || chr(10)) END AS translated
+  FROM (SELECT doc_id, lang, replace(text, chr(10), chr(10) || chr(10)) AS wide FROM documents)""")
+def _(spark, d):
+    language = F.when(F.col("lang") == "en", "english").otherwise(F.col("lang"))
+    rows = _wide(spark, d).select("doc_id", "text", language.alias("detected"))
+    return generate.translated_documents(rows, _marked).select("doc_id", "translated")
+
+
+_SLICED = "array_to_string(list_transform(range(0, greatest(length({0}), 1), 4500), lambda i: '<' || substr({0}, CAST(i + 1 AS BIGINT), 4500) || '>'), ' ')"
+
+
+@query("translate_pairs", f"""WITH {S.CONV_QA}, t AS (SELECT conv_id, turn, {_SLICED.format('instruction')} AS q, {_SLICED.format('response')} AS a, contains(instruction || response, '###') AS failed FROM conv_qa)
+  SELECT conv_id, turn, NOT failed AND length(q) > 10 AND length(a) > 50 AS ok FROM t""")
+def _(spark, d):
+    return generate.translated_pairs(A.conv_qa(spark, d), _marked).select("conv_id", "turn", "ok")
+
+
+def _rewriter(prompt: str, attempt: int) -> str:
+    """Stands for a generator: says the last paragraph again, and fails at the first attempt on short prompts."""
+    return "" if attempt == 0 and len(prompt) % 2 else "Rewritten: " + prompt.split("\n\n")[-1].split("\n")[0] + " and why?"
+
+
+@query("augment_pairs")
+def _(spark, d):
+    accepted, judged = generate.augmented(A.doc_qa(spark, d), _rewriter)
+    tried = judged.groupBy("idx", "augmentation_type").agg(F.count("*").alias("attempts"), F.max(F.col("reason") == "ok").alias("ok"))
+    return tried.join(accepted.select("idx", "augmentation_type", "instruction"), ["idx", "augmentation_type"], "left")
+
+
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("chat_file_roundtrip", f"WITH {S.CONV_QA} SELECT instruction, response, 'general' AS category, 'intermediate' AS difficulty, 'original' AS source, 'original' AS augmentation_type FROM conv_qa")
+def _(spark, d):
+    """Chats written as lines and read back."""
+    path = _folder(spark, "chats")
+    sinks.write_chats(A.conv_qa(spark, d), path)
+    return files.qa_from_chats(spark, path, augmentation=True)
+
+
+@query("document_roundtrip", f"WITH {S.DOC_QA} SELECT CAST(row_number() OVER (ORDER BY idx) - 1 AS BIGINT) AS idx, instruction, response, category, difficulty, source FROM doc_qa")
+def _(spark, d):
+    """A JSON document with metadata and rows, written and read back; its rows keep their order."""
+    path = _folder(spark, "document")
+    sinks.write_overlaid(A.doc_qa(spark, d), path, {"format": "detailed", "language": "none"}, language="french")
+    return files.any_layout(spark, path)
+
+
+@query("language_files", "SELECT language, count(*) AS lines FROM (SELECT lang AS language FROM documents UNION ALL SELECT 'combined' FROM documents) GROUP BY 1")
+def _(spark, d):
+    """Line counts of the files of each language and of the combined one."""
+    path = _folder(spark, "languages")
+    sinks.write_by_language(A.doc_qa(spark, d), path)
+    found = sinks.manifest(spark, f"{path}/by_language", f"{path}/combined")
+    language = F.when(F.col("path").contains("/combined/"), "combined").otherwise(F.regexp_extract("path", "language=([^/]+)", 1))
+    return found.groupBy(language.alias("language")).agg(F.sum("lines").alias("lines"))

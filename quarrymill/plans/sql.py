@@ -244,4 +244,24 @@ def variation() -> str:
     )
 
 
+def free_text() -> str:
+    asks = "length(x) > 15 AND (contains(x, '?') OR regexp_matches(lower(x), '^(how|what|when|why|where)'))"
+    edges = ("^[\"']+|[\"']+\\z", "")
+
+    def finish(t: str) -> str:
+        t = strip(rx(t, edges))
+        for p in T.FREE_PREFIXES:
+            t = strip(f"replace({t}, {lit(p)}, '')")
+        return t
+
+    return f"""WITH l AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: {strip('x')}) AS ls FROM documents WHERE length(text) > 30),
+    q AS (SELECT doc_id, ls, list_filter(range(1, len(ls) + 1), lambda i: list_transform(ls, lambda x: {asks})[i])[1] AS qa FROM l),
+    a AS (SELECT doc_id, ls, qa, CASE WHEN qa IS NOT NULL THEN list_filter(range(qa + 1, len(ls) + 1), lambda i: length(ls[i]) > 50)[1] END AS aa,
+      coalesce(list_filter(ls[1:5], lambda x: length(x) > 15)[1], ls[qa]) AS spare FROM q),
+    p AS (SELECT doc_id, CASE WHEN aa IS NOT NULL THEN ls[qa] ELSE spare END AS q,
+      CASE WHEN aa IS NOT NULL THEN array_to_string(list_filter(ls[aa:], lambda x: x <> ''), ' ')
+        ELSE coalesce(array_to_string(list_filter(ls, lambda x: x <> '' AND x <> spare), ' '), '') END AS a FROM a)
+    SELECT doc_id, {finish('q')} AS instruction, {finish('a')} AS response FROM p WHERE q IS NOT NULL AND {wc('a')} >= 50"""
+
+
 __all__ = ["P"]

@@ -66,28 +66,45 @@ def wrapped(spark: SparkSession, path: str, field: str, row: str) -> DataFrame:
     return found.select(F.posexplode(field).alias("idx", "row")).select(F.col("idx").cast("bigint").alias("idx"), "row.*")
 
 
-def any_layout(spark: SparkSession, path: str, row: str = QA_FIELDS) -> DataFrame:
-    """`dataset`, else `qa_pairs`, else nothing."""
+def any_layout(spark: SparkSession, path: str, row: str = QA_FIELDS, required: bool = False) -> DataFrame:
+    """The rows of `dataset`, else of `qa_pairs`, else none, which is an error if they are required."""
     kind = f"array<struct<{row}>>"
     found = spark.read.schema(f"dataset {kind}, qa_pairs {kind}").option("multiLine", True).json(path)
     rows = F.coalesce("dataset", "qa_pairs")
+    if required:
+        rows = F.coalesce(rows, F.raise_error(F.lit(f"{path}: neither dataset nor qa_pairs")).cast(kind))
     return found.select(F.posexplode(rows).alias("idx", "row")).select(F.col("idx").cast("bigint").alias("idx"), "row.*")
 
 
-def chat_lines(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """line and messages of a file of chats; bad lines are left out, or are an error if strict."""
+def chat_lines(spark: SparkSession, path: str) -> DataFrame:
+    """line, messages and reason of every line that is not blank of a file of chats.
+
+    reason: null; `not_json`; `wrong_shape` for JSON without a list of messages; `short` for fewer than two messages.
+    Lines of a wrong shape have no messages, and no line is left out: the next rule, or the caller, drops by reason.
+    """
     lines = spark.read.text(path).where("trim(value) <> ''")
-    parsed = F.from_json("value", CHAT, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
-    return lines.select(F.col("value").alias("line"), parsed["messages"].alias("messages")).where("messages is not null")
+    messages = F.from_json("value", CHAT)["messages"]
+    rows = lines.select(F.col("value").alias("line"), messages.alias("messages"), F.try_parse_json("value").isNull().alias("bad"))
+    reason = F.when(F.col("bad"), "not_json").when(F.col("messages").isNull(), "wrong_shape").when(F.size("messages") < 2, "short")
+    return rows.select("line", "messages", reason.alias("reason"))
 
 
 def qa_from_chats(spark: SparkSession, path: str, augmentation: bool = False, strict: bool = False) -> DataFrame:
-    """Questions and answers of a file of chats, with default fields."""
+    """Questions and answers of a file of chats, with default fields.
+
+    Lines that can't be read, of a wrong shape or too short are left out (`chat_lines` has them, to be counted); if
+    strict, the first such line is an error.
+    """
     m = F.col("messages")
     fixed = {"category": "general", "difficulty": "intermediate", "source": "original"}
     if augmentation:
         fixed["augmentation_type"] = "original"
-    rows = chat_lines(spark, path, strict).where(F.size(m) >= 2)
+    rows = chat_lines(spark, path)
+    if strict:
+        bad = F.raise_error(F.concat(F.lit(f"{path}: "), F.col("reason"), F.lit(": "), F.substring("line", 1, 100)))
+        rows = rows.withColumn("messages", F.when(F.col("reason").isNull(), m).otherwise(bad.cast(CHAT.split(" ", 1)[1])))
+    else:
+        rows = rows.where("reason is null")
     return rows.select(m[0]["content"].alias("instruction"), m[1]["content"].alias("response"), *(F.lit(v).alias(k) for k, v in fixed.items()))
 
 
@@ -113,3 +130,24 @@ def recovered(spark: SparkSession, raw: str, *checkpoints: str) -> DataFrame:
     return any_layout(spark, first_existing(spark, *checkpoints))
 
 
+#: By language, the files that may hold a set, the best first; the last ones hold what was not augmented.
+AUGMENTED = "{name}_HQ_augmented_detailed.json", "{name}_augmented_detailed.json"
+
+
+def best_dataset(spark: SparkSession, folder: str, name: str, plain: str, include_augmented: bool = True, lines: str | None = None) -> DataFrame | None:
+    """The best set of a folder: augmented files (unless they are not wanted), else `plain`, else the chats of `lines`;
+    None where there is none."""
+    candidates = [x.format(name=name) for x in AUGMENTED] if include_augmented else []
+    for candidate in [*candidates, plain]:
+        if exists(spark, f"{folder}/{candidate}"):
+            return any_layout(spark, f"{folder}/{candidate}")
+    if lines and exists(spark, f"{folder}/{lines}"):
+        return qa_from_chats(spark, f"{folder}/{lines}", augmentation=True)
+    return None
+
+
+def to_publish(spark: SparkSession, prepared: dict[str, str], otherwise) -> dict[str, DataFrame | None]:
+    """By language, the prepared chats if the files of all languages are there, else what `otherwise(language)` finds."""
+    if all(exists(spark, p) for p in prepared.values()):
+        return {language: qa_from_chats(spark, p, strict=True) for language, p in prepared.items()}
+    return {language: otherwise(language) for language in prepared}

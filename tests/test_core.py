@@ -176,12 +176,104 @@ def test_files_and_sinks(spark, tmp_path):
     back = files.qa_from_chats(spark, out, augmentation=True).orderBy("instruction").collect()
     assert [(x.instruction, x.response, x.category, x.augmentation_type) for x in back] == [("q1", "a\n1", "general", "original"), ("q2", "a2", "general", "original")]
     sinks.write_by_language(qa, str(tmp_path / "by"))
-    assert files.first_existing(spark, str(tmp_path / "no"), str(tmp_path / "by/language=fr")).endswith("fr")
+    assert files.first_existing(spark, str(tmp_path / "no"), str(tmp_path / "by/by_language/language=fr")).endswith("fr")
     assert sum(x.lines for x in sinks.manifest(spark, out).collect()) == 4
     (tmp_path / "w.json").write_text('{"qa_pairs": [{"instruction": "x", "response": "y"}], "stats": {"n": 1}}')
     assert [(x.idx, x.instruction, x.category) for x in files.any_layout(spark, str(tmp_path / "w.json")).collect()] == [(0, "x", None)]
 
 
+def test_chat_lines_name_what_is_wrong(spark, tmp_path):
+    lines = ['{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}', "{bad", '{"a": 1}', "3",
+             '{"messages": [{"role": "user", "content": "q"}]}', " "]
+    (tmp_path / "c.jsonl").write_text("\n".join(lines))
+    path = str(tmp_path / "c.jsonl")
+    found = {x.line: x.reason for x in files.chat_lines(spark, path).collect()}
+    assert found == {lines[0]: None, lines[1]: "not_json", lines[2]: "wrong_shape", lines[3]: "wrong_shape", lines[4]: "short"}
+    assert files.qa_from_chats(spark, path).count() == 1
+    with pytest.raises(Exception, match="not_json"):
+        files.qa_from_chats(spark, path, strict=True).collect()
+    shapes = files.chat_lines(spark, path).select(G.structure_failed(F.col("messages")).alias("f")).collect()
+    assert [x.f for x in shapes].count(False) == 1
+
+
+def test_layouts_and_priorities(spark, tmp_path):
+    folder = str(tmp_path)
+    (tmp_path / "none.json").write_text('{"other": []}')
+    assert files.any_layout(spark, f"{folder}/none.json").count() == 0
+    with pytest.raises(Exception, match="neither"):
+        files.any_layout(spark, f"{folder}/none.json", required=True).collect()
+    assert files.best_dataset(spark, folder, "set_en", "set.json") is None
+    chat = '{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}\n'
+    (tmp_path / "set.jsonl").write_text(chat)
+    best = lambda augmented=True: [x.instruction for x in files.best_dataset(spark, folder, "set_en", "set.json", augmented, "set.jsonl").collect()]
+    assert best() == ["q"]
+    (tmp_path / "set.json").write_text('{"dataset": [{"instruction": "plain"}], "qa_pairs": [{"instruction": "no"}]}')
+    (tmp_path / "set_en_augmented_detailed.json").write_text('{"dataset": [{"instruction": "aug"}]}')
+    assert best() == ["aug"] and best(False) == ["plain"]
+    (tmp_path / "en.jsonl").write_text(chat)
+    paths = {"en": f"{folder}/en.jsonl", "fr": f"{folder}/fr.jsonl"}
+    assert files.to_publish(spark, paths, lambda x: None) == {"en": None, "fr": None}
+    (tmp_path / "fr.jsonl").write_text(chat)
+    assert {k: v.count() for k, v in files.to_publish(spark, paths, lambda x: None).items()} == {"en": 1, "fr": 1}
+
+
+def test_documents_are_written_whole(spark, tmp_path):
+    import json
+
+    qa = spark.createDataFrame([(i, f"q{i}", None if i % 2 else "é\n\"") for i in range(9)], "idx bigint, instruction string, response string")
+    meta = spark.createDataFrame([(9, None)], "total bigint, note string")
+    sinks.write_document(str(tmp_path / "d"), "idx", meta, english_dataset=qa.repartition(3), french_dataset=qa.limit(0))
+    (part,) = (tmp_path / "d").glob("part-*")
+    found = json.loads(part.read_text())
+    assert found["metadata"] == {"total": 9, "note": None} and found["french_dataset"] == []
+    assert [x["idx"] for x in found["english_dataset"]] == list(range(9)) and found["english_dataset"][0]["response"] == 'é\n"'
+    sinks.write_overlaid(qa, str(tmp_path / "o"), {"format": "x", "language": "none"}, language="fr")
+    (part,) = (tmp_path / "o").glob("part-*")
+    assert json.loads(part.read_text())["metadata"] == {"format": "x", "language": "fr", "total_pairs": "9"}
+    out = str(tmp_path / "log")
+    assert sinks.write_chats(qa, out) == 9 and sinks.write_chats(qa.limit(2), out, "append") == 2
+    assert sinks.manifest(spark, out, str(tmp_path / "absent")).agg(F.sum("lines")).first()[0] == 11
+    assert [x.purpose for x in sinks.recommendations(spark, {"eng": out, "fr": str(tmp_path / "absent")}).collect()] == ["for_english_only"]
+
+
+def test_backing_off_and_augmentation(spark):
+    pauses, calls = [], []
+
+    def call(prompt):
+        calls.append(prompt)
+        return None if len(calls) < 3 else " done "
+
+    assert generate.backing_off(call, sleep=pauses.append)("p", 0) == "done" and pauses == [2.0, 3.0]
+    assert generate.backing_off(lambda p: 1 / 0, sleep=pauses.append)("p", 0) == "" and len(pauses) == 4
+    answer = " ".join(f"word{i} is told." for i in range(60))
+    qa = spark.createDataFrame([(i, f"What is thing {i} about?", answer) for i in range(4)], "idx bigint, instruction string, response string")
+
+    def generator(prompt, attempt):
+        if "Put this question" in prompt:
+            return "" if attempt == 0 else "Question: How would you describe that thing then?"
+        return "short" if "Put this answer" in prompt else "What happens in a team today?\n" + "It depends on many things. " * 20
+
+    accepted, judged = generate.augmented(qa, generator)
+    assert {(x.idx, x.augmentation_type, x.attempt) for x in accepted.collect()} == {
+        (i, "contextual_variation", 0) for i in range(4)}
+    counts = {(x.augmentation_type, x.reason): x["count"] for x in judged.groupBy("augmentation_type", "reason").count().collect()}
+    # the gate rejects what keeps its answer, so that no paraphrase of a question passes
+    assert counts == {("professional_paraphrase", "generation_failed"): 4, ("professional_paraphrase", "identical_response"): 8,
+                      ("expert_reformulation", "generation_failed"): 12, ("contextual_variation", "ok"): 4}
+    made = judged.where("augmentation_type = 'expert_reformulation'")
+    assert profile.rejections(made).first().rejected == 12
+    assert [x.reason for x in profile.top_reasons(judged.withColumn("reason", F.concat("reason", F.lit("_0.98")))).collect()] == ["generation_failed", "identical_response", "ok"]
+
+
+def test_samples_of_few_rows(spark):
+    rows = spark.range(3).withColumnRenamed("id", "idx")
+    assert profile.row_at(rows, 5, "idx").first().idx == 2 and profile.row_at(rows.limit(0), 5, "idx").count() == 0
+    assert profile.fields_present(rows, "idx", "none").collect()[1].present is False
+    ragged = spark.createDataFrame([(0, [1.0, 0.0]), (1, None), (2, [1.0]), (3, [None, 1.0]), (4, [1.0, 1.0]), (5, [2.0, 0.0])], "id bigint, v array<double>")
+    found = [(x.query, x.id) for x in search.cosine_topk(ragged, ragged, 1).orderBy("query").collect()]
+    assert found == [(0, 5), (4, 0), (5, 0)]
+
+
 def test_resume_takes_new_files_only(spark, tmp_path):
     source, target, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
     run = lambda: resume.resume(spark, source, "idx bigint", target, mark, lambda b: b.selectExpr("idx", "idx * 2 as twice"))
