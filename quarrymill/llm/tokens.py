@@ -131,6 +131,37 @@ class _Generations(dict):
             self.clear()
 
 
+class _Pieces(_Generations):
+    """Ids of pre-tokens, as bytes."""
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            letters = piece if piece.isascii() and piece.isprintable() else self.make(piece)
+            found = array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+        self[piece] = found
+        return found
+
+
+class _Chunks(_Generations):
+    """Ids of chunks, as bytes; ASCII words, alone or before one other character, are their own pre-tokens."""
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.old.get(chunk)
+        if found is None:
+            low = chunk.lower()
+            if not low.isascii():
+                found = self.make(chunk)
+            elif low.isalpha():
+                found = self.pieces[low]
+            elif low[:-1].isalpha():
+                found = self.pieces[low[:-1]] + self.pieces[low[-1]]
+            else:
+                found = self.make(chunk)
+        self[chunk] = found
+        return found
+
+
 class Encoder:
     """Little-endian unsigned 32-bit ids of texts, from the library's model for each pre-token not seen before."""
 
@@ -145,8 +176,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.before = Pretokenizer(spec, path)
-        self.pieces = _Generations(self._piece, CHUNKS)
-        self.chunks = _Generations(self._chunk, CHUNKS)
+        self.pieces = _Pieces(self.before.in_letters, CHUNKS)
+        self.pieces.tokenize = self.model.tokenize
+        self.chunks = _Chunks(self._chunk, CHUNKS)
+        self.chunks.pieces = self.pieces
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -155,9 +188,6 @@ class Encoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def _piece(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(self.before.in_letters(piece))]).tobytes()
-
     def _chunk(self, chunk: str) -> bytes:
         found = self.before.pieces(chunk)
         if type(found) is tuple:
@@ -194,7 +224,7 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary: str | None = None, e
     """Writes `documents` as ORC of TOKEN_SCHEMA in ascending order of doc_id: files in order, rows in order.
 
     `part` is the file's place and `at` the ids before the row in its file.  Ids are integer columns, which ORC keeps
-    run-length encoded in stripes that readers take in parallel; row indexes and Bloom filters on doc_id let a reader
+    run-length encoded (and not compressed further) in stripes that readers take in parallel; row indexes and Bloom filters on doc_id let a reader
     that looks for some documents skip stripes and row groups.
     """
     vocabulary = vocabulary or default_vocabulary()
@@ -220,7 +250,7 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary: str | None = None, e
     ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange("doc_id")
     (
         ordered.sortWithinPartitions("doc_id", "text").mapInArrow(run, TOKEN_SCHEMA).write
-        .option("compression", "zstd").option("orc.create.index", "true").option("orc.row.index.stride", "1000")
+        .option("compression", "none").option("orc.create.index", "true").option("orc.row.index.stride", "1000")
         .option("orc.stripe.size", str(16 << 20)).option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
         .orc(path)
     )
