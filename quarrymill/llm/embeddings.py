@@ -5,6 +5,8 @@ epsilon = sqrt(2 - 2 * least).  Unit vectors are turned to their principal direc
 width on the leading ones (any rotation keeps distances, so that the directions may come from a bounded sample).  The
 sequence is cut into blocks; pairs of blocks whose bounds are farther apart than epsilon are skipped, the others are
 joined by recursion on halves of their intervals, with the same test, down to small pieces that are multiplied out.
+Blocks are large, so that a vector is sent to few pairs of blocks and the recursion, which sends nothing, does most of
+the skipping; vectors whose components are single-precision numbers travel as such.
 
 Equal vectors are one row with a count.  A pair of blocks gives the number of links of each vector and links that span
 its components, never all pairs.
@@ -29,39 +31,47 @@ from quarrymill.llm.work import Work, components, table
 
 LEAST = 0.98
 LEADING = 6
-BLOCK_ROWS = 256
+BLOCK_ROWS = 2048
 LEAF_ROWS = 64
 SAMPLE = 4096
 
 
 def prepared(rows: DataFrame) -> DataFrame:
-    """uid, label, dim and the vector as doubles in bytes; rows that link with nothing are left out."""
+    """uid, label, dim and the vector in bytes, of floats if they hold it and of doubles if not; rows that link with
+    nothing are left out."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("embedding").cast(pa.list_(pa.float64()))
-            usable, out = [], []
+            usable, dims, out = [], [], []
             for i, v in enumerate(lists):
                 if v.is_valid and len(v.values):
                     x = v.values.to_numpy(zero_copy_only=False)  # nulls become NaN
                     if np.isfinite(x).all() and x.any():
                         usable.append(i)
-                        out.append((x + 0.0).tobytes())
+                        dims.append(len(x))
+                        with np.errstate(over="ignore"):
+                            short = x.astype(np.float32)
+                        out.append(((short if (short == x).all() else x) + 0.0).tobytes())
             kept = batch.select(["uid", "label"]).take(pa.array(usable, pa.int64()))
-            dims = pa.array([len(x) // 8 for x in out], pa.int32())
-            yield pa.RecordBatch.from_arrays([*kept.columns, dims, pa.array(out, pa.binary())], ["uid", "label", "dim", "v"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(dims, pa.int32()), pa.array(out, pa.binary())], ["uid", "label", "dim", "v"])
 
     return rows.where("label is not null and embedding is not null").select("uid", "label", "embedding").mapInArrow(
         make, "uid bigint, label string, dim int, v binary"
     )
 
 
+def numbers(data: bytes, dim: int) -> np.ndarray:
+    """The vector of so many components."""
+    return np.frombuffer(data, np.float64 if len(data) == 8 * dim else np.float32).astype(np.float64)
+
+
 def directions(distinct: DataFrame, sample: int) -> dict[int, np.ndarray]:
     """Principal directions by vector length, from at most `sample` vectors of each length, chosen by a hash."""
     found: dict[int, np.ndarray] = {}
     for (dim,) in distinct.select("dim").distinct().collect():
         rows = distinct.where(F.col("dim") == dim).select("v").orderBy(F.xxhash64("uid")).limit(sample).collect()
-        x = np.stack([np.frombuffer(r.v) for r in rows])
+        x = np.stack([numbers(r.v, dim) for r in rows])
         x = x / np.abs(x).max(1, keepdims=True)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         found[dim] = np.linalg.eigh(np.cov(x.T, bias=True).reshape(dim, dim))[1][:, ::-1][:, :LEADING].copy()
@@ -86,7 +96,7 @@ def blocks(distinct: DataFrame, turn: dict[int, np.ndarray], epsilon: float, siz
             out = np.zeros((batch.num_rows, LEADING), np.int32)
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
-                v = np.stack([np.frombuffer(batch.column("v")[i].as_py()) for i in at.tolist()])
+                v = np.stack([numbers(batch.column("v")[i].as_py(), int(dim)) for i in at.tolist()])
                 y = np.floor(unit(v) @ turn[dim] / epsilon).astype(np.int32)
                 out[at, : y.shape[1]] = y
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c) for c in out.T)], [*batch.schema.names, *CELLS])
@@ -95,12 +105,13 @@ def blocks(distinct: DataFrame, turn: dict[int, np.ndarray], epsilon: float, siz
         bid, held, key = TaskContext.get().partitionId() << 32, [], None
 
         def block():
-            v = np.stack([np.frombuffer(r["v"]) for r in held])
+            v = np.stack([numbers(r["v"], key[1]) for r in held])
             y = unit(v) @ turn[key[1]]
+            short = all(len(r["v"]) == 4 * key[1] for r in held)
             return {
                 "bid": bid, "label": key[0], "dim": key[1], "lo": y.min(0).tolist(), "hi": y.max(0).tolist(),
                 "uids": np.array([r["uid"] for r in held], np.int64).tobytes(),
-                "sizes": np.array([r["size"] for r in held], np.int64).tobytes(), "v": v.tobytes(),
+                "sizes": np.array([r["size"] for r in held], np.int64).tobytes(), "v": (v.astype(np.float32) if short else v).tobytes(),
             }
 
         for batch in batches:
@@ -172,7 +183,7 @@ def joined(pairs: DataFrame, made: DataFrame, turn: dict[int, np.ndarray], least
     data = made.select("bid", "dim", "uids", "sizes", "v")
     left = data.select(F.col("bid").alias("x"), "dim", *(F.col(c).alias(f"x_{c}") for c in ("uids", "sizes", "v")))
     right = data.select(F.col("bid").alias("y"), *(F.col(c).alias(f"y_{c}") for c in ("uids", "sizes", "v")))
-    rows = pairs.join(left, "x").join(right, "y")
+    rows = pairs.join(left, "x").join(right, F.when(pairs.x != pairs.y, pairs.y) == right.y, "left").select("x", pairs.y, "dim", "x_uids", "x_sizes", "x_v", "y_uids", "y_sizes", "y_v")
     reach = (epsilon * 1.001) ** 2
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,10 +191,13 @@ def joined(pairs: DataFrame, made: DataFrame, turn: dict[int, np.ndarray], least
             for i in range(batch.num_rows):
                 r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 dim, same = r["dim"], r["x"] == r["y"]
-                raw = [np.frombuffer(r[c]).reshape(-1, dim) for c in ("x_v", "y_v")]
+                if same:
+                    r |= {f"y_{c}": r[f"x_{c}"] for c in ("uids", "sizes", "v")}
+                raw = [numbers(r[f"{s}_v"], dim * (len(r[f"{s}_uids"]) // 8)).reshape(-1, dim) for s in "xy"]
                 x, y = map(unit, raw)
                 near = links_within(x, y, x @ turn[dim], y @ turn[dim], least - 1e-9, reach)
-                # the bound itself is tested on the vectors as given, in double precision
+                # the bound itself is tested on the vectors as given (but for a power of two), in double precision
+                raw = [np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1]) for v in raw]
                 a, b = np.nonzero(near)
                 for k in range(0, len(a), 1 << 16):
                     p, q = raw[0][a[k : k + (1 << 16)]], raw[1][b[k : k + (1 << 16)]]
@@ -213,7 +227,7 @@ def near_duplicates(
     work: Work, vectors: DataFrame, least: float = LEAST, id_column: str = "vec_id", size: int = BLOCK_ROWS,
     sample: int = SAMPLE,
 ) -> DataFrame:
-    """Per row of (id, embedding, label): id, n_links, component_id, kept."""
+    """Per row of (id, embedding, label): id, n_links, component_id, kept, and stays, one row of each component."""
     rows = vectors.select(
         F.col(id_column).cast("bigint").alias(id_column), F.col("label").cast("string").alias("label"), "embedding"
     )
@@ -242,9 +256,9 @@ def near_duplicates(
     every = rows.select("uid", id_column).join(named, F.col("uid") == F.col("member"), "left")
     every = every.select("uid", id_column, F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "uid").alias("root"))
     named = with_smallest(work.table(every, "every"), id_column)
-    return named.select(id_column, "n_links", "component_id", "kept")
+    return named.select(id_column, "n_links", "component_id", "kept", "stays")
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Work(spark, "embeddings")
-    return work.result(near_duplicates(work, table(spark, sf_dir, "embeddings")))
+    return work.result(near_duplicates(work, table(spark, sf_dir, "embeddings")).drop("stays"))

@@ -33,10 +33,10 @@ def local_roots(links: np.ndarray) -> np.ndarray:
 
 
 def with_smallest(rows: DataFrame, id_column: str) -> DataFrame:
-    """Adds component_id, the smallest id of the rows with the same `root`, and kept, whether the row is the one that
-    stays: the first by id (nulls last) and uid."""
+    """Adds component_id, the smallest id of the rows with the same `root`; kept, whether that is the row's own id; and
+    stays, whether the row is the one of them that stays: the first by id (nulls last) and uid."""
     first = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col("uid").alias("uid"))
     low = rows.groupBy(F.col("root").alias("of")).agg(F.min(first).alias("low"))
     return rows.join(low, rows.root == low.of).withColumns(
-        {"component_id": F.col("low.id"), "kept": F.col("uid") == F.col("low.uid")}
+        {"component_id": F.col("low.id"), "kept": F.col(id_column).eqNullSafe(F.col("low.id")), "stays": F.col("uid") == F.col("low.uid")}
     ).drop("of", "low")

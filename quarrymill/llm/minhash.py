@@ -12,7 +12,7 @@ below the bound of 0.58, six standard errors away, with one below 1e-8; no other
 
 Edge cases: a document without words, or a null text, has no shingles and stands alone; one with fewer words than a
 shingle has them as its only one; repeated rows are linked; rows with equal or null ids are rows of their own, of which
-one is kept; an empty table gives none.
+one stays; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -199,7 +199,7 @@ def confirmed_links(groups: DataFrame, width: int, percent: int) -> DataFrame:
 
 def near_duplicates(work: Work, rows: DataFrame, width: int, percent: int, bucket_rows: int = BUCKET_ROWS,
                     group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """Per row of (uid, doc_id, text): uid, doc_id, n_shingles, component_id, kept."""
+    """Per row of (uid, doc_id, text): uid, doc_id, n_shingles, component_id, kept, and stays, one row of each component."""
     signed = work.table(signatures(rows, width), "signatures")
     keys = ["key1", "key2"]
     copies = signed.where("n > 0").groupBy(*keys).agg(F.min("uid").alias("rep"))
@@ -230,7 +230,7 @@ def near_duplicates(work: Work, rows: DataFrame, width: int, percent: int, bucke
     )
     rooted = work.table(rooted, "rooted")
     named = with_smallest(rooted.join(rows.select("uid", "doc_id"), "uid"), "doc_id")
-    return named.select("uid", "doc_id", "n_shingles", "component_id", "kept")
+    return named.select("uid", "doc_id", "n_shingles", "component_id", "kept", "stays")
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -239,7 +239,7 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("rest")
     rows = R.keyed(work, docs.select(others, "doc_id", "text"), "rest")
     found = near_duplicates(work, rows.select("uid", "doc_id", "text"), width, percent)
-    gone = found.where("not kept").select("uid").checkpoint(eager=True)
+    gone = found.where("not stays").select("uid").checkpoint(eager=True)
     work.drop("members", "reps", "inside", "links", "rooted")
     kept = rows.join(gone, "uid", "left_anti")
     return kept.select(*("text" if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns))
@@ -248,4 +248,4 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Work(spark, "minhash")
     rows = R.keyed(work, table(spark, sf_dir, "documents"))
-    return work.result(near_duplicates(work, rows, width=4, percent=80).drop("uid"))
+    return work.result(near_duplicates(work, rows, width=4, percent=80).drop("uid", "stays"))

@@ -120,7 +120,9 @@ def test_embeddings_with_equal_ids_and_without_rows(spark):
     schema = "vec_id bigint, embedding array<double>, label int"
     given = spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [2.0, 0.0], 1), (None, [1.0, 0.0], 1), (None, None, None)], schema)
     found = embeddings.near_duplicates(Work(spark, "t"), given).collect()
-    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in found) == [
-        (0, 0, 0, True), (0, 2, 1, False), (1, 2, 1, False), (1, 2, 1, True),
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept, r.stays) for r in found) == [
+        (0, 0, 0, True, True), (0, 2, 1, False, False), (1, 2, 1, True, False), (1, 2, 1, True, True),
     ]
+    doubles = spark.createDataFrame([(1, [1.0, 0.1], 1), (2, [2.0, 0.2], 1), (3, [1e300, 1e299], 1), (4, [1.0, 0.5], 1)], schema)
+    assert sorted((r.vec_id, r.n_links) for r in embeddings.near_duplicates(Work(spark, "t"), doubles).collect()) == [(1, 2), (2, 2), (3, 2), (4, 0)]
     assert embeddings.near_duplicates(Work(spark, "t"), given.limit(0)).count() == 0
