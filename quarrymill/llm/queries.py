@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarrymill.llm import bpe, embeddings, minhash, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, tokens, toxicity
+from quarrymill.llm import sql as S
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -26,5 +27,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_embedding_dedup": S.EMBEDDINGS,
+        "op3_substring_dedup": S.SUBSTRINGS,
+        "op6_minhash": S.MINHASH,
+        "op8_suffix_dedup": S.SUFFIXES,
         "op10_quality_rules": quality_rules.OP10_SQL,
     }

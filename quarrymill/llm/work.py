@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm import kernels
+from quarrymill.session import checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,13 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset, as in tests, a temporary folder of this session."""
-    found = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not found:
-        found = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+    """The folder of spark.checkpoint.dir, which a cluster has to name; a local session, as in tests, gets a temporary one."""
+    return checkpoint_dir(spark)
 
 
 #: Bytes of an Arrow batch, where the session names no bound: texts vary a thousandfold in length, so that a bound on rows
@@ -37,8 +32,9 @@ _BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 class Work:
     """Tables of one run of an operator.  They cut the lineage: a lost executor costs no more than the step it was at.
 
-    `result` keeps an operator's rows by a reliable checkpoint, which Spark's cleaner deletes with the DataFrame, and
-    deletes the staged tables.
+    `result` keeps an operator's rows by a reliable checkpoint and deletes the staged tables.  Spark's cleaner deletes the
+    checkpoint with the DataFrame where the session has spark.cleaner.referenceTracking.cleanCheckpoints, as those of
+    `session.build` do; else it stays in the shared folder, whose owner clears it.
     """
 
     def __init__(self, spark: SparkSession, name: str):
