@@ -110,13 +110,24 @@ def test_suffix_array(letters):
             assert heads == sorted(heads)
 
 
-def test_index_takes_batches_at_any_time(spark):
-    """A later batch finds what it repeats of history, and runs are compacted."""
-    work = Work(spark, "t")
-    index = substring_dedup.FingerprintIndex(work, 35, 8, most_runs=2)
-    passage = " ".join(words(9, 60))
-    for i in range(4):
-        text = passage if i in (0, 3) else " ".join(words(20 + i, 60))
-        index.append(spark.createDataFrame([(i, text)], "uid bigint, text string"))
-    assert len(index.runs) <= 2
-    assert {r.uid for r in index.repeated().where("copy").collect()} == {0, 3}
+def test_later_sessions_add_batches_without_shuffling_history(spark, tmp_path):
+    """A later batch finds what it repeats of history, history's own windows become hits, and runs are compacted."""
+    root, passage = str(tmp_path / "index"), words(9, 60)
+    given = [" ".join(passage), " ".join(words(21, 60)), " ".join(words(22, 10) + passage[:36]), None, " ".join(passage[5:50] + words(23, 5)), " ".join(words(24, 60))]
+    corpus = spark.createDataFrame(list(enumerate(given)), "uid bigint, text string")
+    for i in range(len(given)):
+        session = spark.newSession()
+        every = session.createDataFrame(list(enumerate(given)), "uid bigint, text string")
+        index = substring_dedup.FingerprintIndex(session, root, 35, 8, most_runs=2)
+        index.append(every.where(f"uid = {i}"), every)
+        assert len(index.runs["anchors"]) <= 2 and index.made > i
+        now = [[False] * len((t or "").split()) for t in given[: i + 1]]
+        for h in index.hits().collect():
+            now[h.uid][h.first : h.first + h.n + 34] = [True] * (h.n + 34)
+        assert now == covered([(t or "").split() for t in given[: i + 1]], 35)
+        if len(index.runs["anchors"]) == 2:
+            for family, (first, last) in index.runs.items():
+                plan = index.met(family, last, [first])._jdf.queryExecution().executedPlan().toString()
+                assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        index.close()
+    assert corpus.count() == len(given)
