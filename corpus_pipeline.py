@@ -2,6 +2,11 @@
 
 Each stage works on what the one before it kept, which is written as Parquet and read again; all but the last return the
 columns of `documents`.
+
+Edge cases: a null or empty text is scored like texts without known words and fails the rules; repeated rows are near
+duplicates of one another, of which one stays; rows with equal or null ids are rows of their own; very long texts are
+one row like others; ties are broken by id, then by place; other columns, whatever their names, pass through the first
+four stages; an empty table gives no pieces.
 """
 
 from __future__ import annotations

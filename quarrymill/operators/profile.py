@@ -134,6 +134,25 @@ def sample_of_each(rows: DataFrame, by: str, seed: int = 42, key: str = "idx") -
     return rows.groupBy(by).agg(F.min_by(F.struct(*rows.columns), mark).alias("r")).select("r.*")
 
 
+def progress(total: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """One row: how many of the items are done, and the share in percent."""
+    left = done.select(key).where(F.col(key).isNotNull()).distinct().withColumn("__done", F.lit(True))
+    found = total.select(key).join(left, key, "left").agg(F.count("__done").alias("completed"), F.count("*").alias("total"))
+    return found.withColumn("progress_percent", F.col("completed") * 100.0 / F.greatest(F.col("total"), F.lit(1)))
+
+
+def loss_class(ratio: Column) -> Column:
+    """How far a test loss lies above the training loss."""
+    return F.when(ratio < 1.2, "excellent").when(ratio < 1.5, "good").when(ratio < 2.0, "fair").when(ratio.isNotNull(), "poor")
+
+
+def training_estimate(rows: DataFrame, share: float = 0.8, batch: int = 4, accumulation: int = 4, epochs: int = 2, every: int = 200, seconds: float = 2.0) -> DataFrame:
+    """One row: steps an epoch, all steps, evaluations, and hours at so many seconds a step."""
+    steps = F.floor(F.count("*") * share / (batch * accumulation)).cast("bigint")
+    found = rows.agg(steps.alias("steps_per_epoch")).withColumn("total_steps", F.col("steps_per_epoch") * epochs)
+    return found.withColumns({"evaluations": F.expr(f"total_steps div {every}"), "hours": F.col("total_steps") * seconds / 3600.0})
+
+
 def report_bars(rows: DataFrame, percent: str = "percent") -> DataFrame:
     """Adds a text bar of one block for every two percent."""
     return rows.withColumn("bar", F.repeat(F.lit("█"), (F.col(percent) / 2).cast("int")))

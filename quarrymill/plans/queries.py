@@ -642,3 +642,54 @@ def _(spark, d):
     found = sinks.manifest(spark, f"{path}/by_language", f"{path}/combined")
     language = F.when(F.col("path").contains("/combined/"), "combined").otherwise(F.regexp_extract("path", "language=([^/]+)", 1))
     return found.groupBy(language.alias("language")).agg(F.sum("lines").alias("lines"))
+
+
+@query("progress", f"WITH {S.DOC_QA} SELECT count(*) FILTER (WHERE idx IN (SELECT doc_id FROM labels)) AS completed, count(*) AS total, count(*) FILTER (WHERE idx IN (SELECT doc_id FROM labels)) * 100.0::DOUBLE / greatest(count(*), 1) AS progress_percent FROM doc_qa")
+def _(spark, d):
+    return profile.progress(A.doc_qa(spark, d).select("idx"), A.table(spark, d, "labels").select(F.col("doc_id").alias("idx")), "idx")
+
+
+@query("training_estimate", f"""WITH {S.DOC_QA}, e AS (SELECT CAST(floor(count(*) * 0.8::DOUBLE / 16) AS BIGINT) AS s FROM doc_qa)
+  SELECT s AS steps_per_epoch, s * 2 AS total_steps, CAST(s * 2 // 200 AS BIGINT) AS evaluations, s * 2 * 2.0::DOUBLE / 3600.0::DOUBLE AS hours FROM e""")
+def _(spark, d):
+    return profile.training_estimate(A.doc_qa(spark, d))
+
+
+@query("loss_classes", """SELECT o_orderkey, CASE WHEN r < 1.2 THEN 'excellent' WHEN r < 1.5 THEN 'good' WHEN r < 2.0 THEN 'fair' WHEN r IS NOT NULL THEN 'poor' END AS class
+  FROM (SELECT o_orderkey, CAST(o_orderkey % 29 AS DOUBLE) / 10 AS r FROM orders)""")
+def _(spark, d):
+    return A.table(spark, d, "orders").select("o_orderkey", profile.loss_class((F.col("o_orderkey") % 29).cast("double") / 10).alias("class"))
+
+
+@query("report_bars", f"""WITH {S.CONV_QA}, b AS (SELECT least({_W} // 20, 9) AS bucket FROM conv_qa), c AS (SELECT bucket, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS percent FROM b GROUP BY 1)
+  SELECT CAST(bucket AS BIGINT) AS bucket, n, percent, repeat('█', CAST(floor(percent / 2) AS BIGINT)) AS bar FROM c""")
+def _(spark, d):
+    from pyspark.sql.window import Window
+
+    bucket = F.least(F.floor(T.word_count(R()) / 20), F.lit(9)).cast("bigint").alias("bucket")
+    counts = A.conv_qa(spark, d).groupBy(bucket).agg(F.count("*").alias("n"))
+    shares = counts.withColumn("percent", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()))  # over ten rows
+    return profile.report_bars(shares)
+
+
+@query("last_replies", f"WITH {S.CONV_QA} SELECT conv_id, turn, string_split({S.strip('response')}, chr(10) || chr(10))[1] AS reply FROM conv_qa")
+def _(spark, d):
+    rows = A.chat(A.conv_qa(spark, d))
+    text = F.concat(F.replace(T.chat_template(F.slice("messages", 1, 1)), F.lit("</s>"), F.lit("")), F.lit(" "), F.col("response"))
+    return rows.select("conv_id", "turn", T.last_reply(text).alias("reply"))
+
+
+@query("clean_generated", f"""WITH {S.CONV_QA}, x AS (SELECT conv_id, turn, 'Question: "' || instruction || '"' || chr(10) || 'more' AS q FROM conv_qa)
+  SELECT conv_id, turn, CASE WHEN length(q) > 10 AND {S.wc("s")} >= 3 THEN s END AS question FROM (SELECT conv_id, turn, q, {S.strip("string_split(s, chr(10))[1]")} AS s FROM
+  (SELECT conv_id, turn, q, {S.strip(S.rx(S.strip("substr(q, 10)"), (f"^[" + chr(34) + "']+|[" + chr(34) + "']+" + chr(92) + "z", "")))} AS s FROM x))""")
+def _(spark, d):
+    made = F.concat(F.lit('Question: "'), Q(), F.lit('"\nmore'))
+    return A.conv_qa(spark, d).select("conv_id", "turn", T.clean_generated_question(made).alias("question"))
+
+
+@query("paged_documents", f"SELECT doc_id, text FROM documents")
+def _(spark, d):
+    """Rows of a wrapped document that lists pages, written and read back: an array of the rows, by place."""
+    path = _folder(spark, "pages")
+    sinks.write_document(path, "doc_id", None, qa_pairs=A.table(spark, d, "documents").select("doc_id", "text"))
+    return files.wrapped(spark, path, "qa_pairs", "doc_id bigint, text string").select("doc_id", "text")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -27,12 +28,56 @@ def docx_text(data: bytes) -> str:
 
 
 def pdf_text(data: bytes) -> str:
-    """Pages one after another; needs a PDF library, which may be absent."""
-    from pypdf import PdfReader
-
+    """Pages one after another, by `pypdf` where it is installed, else by `plain_pdf_text`."""
+    try:
+        from pypdf import PdfReader
+    except ModuleNotFoundError:
+        return plain_pdf_text(data)
     return "\n".join(page.extract_text() or "" for page in PdfReader(io.BytesIO(data)).pages)
 
 
+_STREAM = re.compile(rb"<<((?:(?!<<|stream).|<<.*?>>)*?)>>\s*stream\r?\n(.*?)\r?\nendstream", re.DOTALL)
+#: Strings, hexadecimal strings, and the operators that show text or begin a line.
+_SHOWN = re.compile(rb"\((?:\\.|[^\\()]|\((?:\\.|[^\\()])*\))*\)|<[0-9A-Fa-f\s]*>|(?<![\w/])(?:T[dDm*]|Tj|TJ|ET)(?!\w)|['\"]", re.DOTALL)
+_ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
+
+
+def plain_pdf_text(data: bytes) -> str:
+    """Text of simple PDFs: content streams, plain or deflated, with strings in a one-byte encoding, a line for each move.
+
+    Files with encrypted streams, object streams of text or fonts with encodings of their own need `pypdf`; what has no
+    text at all here is an error.
+    """
+    if not data.lstrip().startswith(b"%PDF"):
+        raise ValueError("not a PDF")
+    pages = []
+    for head, body in _STREAM.findall(data):
+        if b"/FlateDecode" in head:
+            try:
+                body = zlib.decompress(body)
+            except zlib.error:
+                continue
+        if b"BT" in body and (page := _shown(body)):
+            pages.append(page)
+    if not pages:
+        raise ValueError("no readable text")
+    return "\n".join(pages)
+
+
+def _shown(body: bytes) -> str:
+    lines: list[bytes] = [b""]
+    for found in _SHOWN.findall(body):
+        if found[:1] == b"(":
+            piece = re.sub(rb"\\([0-7]{1,3})", lambda m: bytes([int(m[1], 8) & 255]), found[1:-1])
+            lines[-1] += re.sub(rb"\\(.)", lambda m: _ESCAPES.get(m[1], m[1]), piece, flags=re.DOTALL)
+        elif found[:1] == b"<":
+            digits = re.sub(rb"\s", b"", found[1:-1])
+            lines[-1] += bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode())
+        elif found in (b"Td", b"TD", b"Tm", b"T*", b"'", b'"', b"ET") and lines[-1]:
+            lines.append(b"")
+    return "\n".join(x.decode("cp1252", "replace") for x in lines if x)
+
+
 def extracted(path: str, data: bytes) -> tuple[str, str]:
     """Text and status: ok, unsupported, or error for what can't be read."""
     kind = path.lower().rpartition(".")[2]

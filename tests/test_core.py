@@ -182,6 +182,29 @@ def test_files_and_sinks(spark, tmp_path):
     assert [(x.idx, x.instruction, x.category) for x in files.any_layout(spark, str(tmp_path / "w.json")).collect()] == [(0, "x", None)]
 
 
+def test_simple_pdfs_without_a_library():
+    import zlib
+
+    def pdf(*streams):
+        parts = [b"%PDF-1.4\n"]
+        for i, (kind, body) in enumerate(streams):
+            parts.append(b"%d 0 obj\n<< /Length %d %s>>\nstream\n%s\nendstream\nendobj\n" % (i + 1, len(body), kind, body))
+        return b"".join(parts)
+
+    first = rb"BT /F1 12 Tf 72 700 Td (Hello \(world\)) Tj 0 -14 Td [(sp) -20 (lit \351)] TJ ET"
+    second = zlib.compress(rb"BT 1 0 0 1 0 0 Tm <4142> Tj T* (end) ' ET")
+    assert files.plain_pdf_text(pdf((b"", first), (b"/Filter /FlateDecode ", second))) == "Hello (world)\nsplit é\nAB\nend"
+    assert files.extracted("x.pdf", pdf((b"", b"no text"))) == ("", "error") and files.extracted("x.pdf", b"junk") == ("", "error")
+
+
+def test_steps(spark, tmp_path):
+    from quarrymill.plans import steps
+
+    assert steps.reachable([1, 5, 99]) == {1: True, 5: True, 99: False}
+    seen = []
+    assert steps.run(spark, "/nowhere", [99, 1], lambda n, df: seen.append(n)) == {99: False} and not seen
+
+
 def test_chat_lines_name_what_is_wrong(spark, tmp_path):
     lines = ['{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}', "{bad", '{"a": 1}', "3",
              '{"messages": [{"role": "user", "content": "q"}]}', " "]
