@@ -9,7 +9,9 @@ Two tokens may stand side by side if no merge across their border would come bef
 ranks rise with every merge that builds on another (checked when a vocabulary is read), so that the pieces beside the
 border can be walked back in time, from the tokens to their first symbols.
 
-Edge cases: a null or empty text has no ids and decodes to an empty text; repeated rows are encoded each by itself.
+Edge cases: a null or empty text has no ids and decodes to an empty text; repeated rows, and rows with equal or null ids,
+are encoded each by itself; very long texts are encoded whole, as one row like others; other columns do not matter; an
+empty table gives none.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ its components, never all pairs.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components, and those without a label, link
 with nothing; vectors of different lengths neither; ties at the bound are links; repeated rows link with each other;
-rows with equal or null ids are rows of their own; an empty table gives none.
+rows with equal or null ids are rows of their own; other columns do not matter; an empty table gives none.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ below the bound of 0.58, six standard errors away, with one below 1e-8; no other
 
 Edge cases: a document without words, or a null text, has no shingles and stands alone; one with fewer words than a
 shingle has them as its only one; repeated rows are linked; rows with equal or null ids are rows of their own, of which
-one stays; an empty table gives none.
+one stays; very long texts are one row like others; `deduplicated` returns other columns as they are, whatever their names;
+an empty table gives none.
 """
 
 from __future__ import annotations

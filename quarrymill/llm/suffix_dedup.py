@@ -10,7 +10,7 @@ Anchors with very many distinct blocks are split once more, by a second anchor w
 
 Edge cases: a null text is empty; a text shorter than a window loses nothing; of repeated rows each loses all its
 windows; rows with equal or null ids are rows of their own; an empty table gives none.  Where a cut falls within a
-character, `deduplicated` drops the bytes that are left of it.
+character, `deduplicated` drops the bytes that are left of it; it returns other columns as they are, whatever their names.
 """
 
 from __future__ import annotations
