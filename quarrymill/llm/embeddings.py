@@ -255,7 +255,7 @@ def near_duplicates(
     )
     every = rows.select("uid", id_column).join(named, F.col("uid") == F.col("member"), "left")
     every = every.select("uid", id_column, F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "uid").alias("root"))
-    named = with_smallest(work.table(every, "every"), id_column)
+    named = with_smallest(work, work.table(every, "every"), id_column)
     return named.select(id_column, "n_links", "component_id", "kept", "stays")
 
 

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrymill.llm.work import Work
+
 
 def in_blocks(rows: DataFrame, key: str, uid: str, blocks: Column) -> DataFrame:
     """Adds `task`: rows of one `key` that fit into one block share a task, larger groups have a task for each pair of
@@ -32,11 +34,13 @@ def local_roots(links: np.ndarray) -> np.ndarray:
     return root
 
 
-def with_smallest(rows: DataFrame, id_column: str) -> DataFrame:
+def with_smallest(work: Work, rows: DataFrame, id_column: str) -> DataFrame:
     """Adds component_id, the smallest id of the rows with the same `root`; kept, whether that is the row's own id; and
-    stays, whether the row is the one of them that stays: the first by id (nulls last) and uid."""
+    stays, whether the row is the one of them that stays: the first by id (nulls last) and uid.
+
+    The groups' first rows are kept, so that the join back has them as they are and a large group is split over tasks."""
     first = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col("uid").alias("uid"))
-    low = rows.groupBy(F.col("root").alias("of")).agg(F.min(first).alias("low"))
+    low = work.table(rows.groupBy(F.col("root").alias("of")).agg(F.min(first).alias("low")), "smallest")
     return rows.join(low, rows.root == low.of).withColumns(
         {"component_id": F.col("low.id"), "kept": F.col(id_column).eqNullSafe(F.col("low.id")), "stays": F.col("uid") == F.col("low.uid")}
     ).drop("of", "low")

@@ -230,7 +230,8 @@ def near_duplicates(work: Work, rows: DataFrame, width: int, percent: int, bucke
         "uid", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("root")
     )
     rooted = work.table(rooted, "rooted")
-    named = with_smallest(rooted.join(rows.select("uid", "doc_id"), "uid"), "doc_id")
+    rooted = work.table(rooted.join(rows.select("uid", "doc_id"), "uid"), "ids")
+    named = with_smallest(work, rooted, "doc_id")
     return named.select("uid", "doc_id", "n_shingles", "component_id", "kept", "stays")
 
 
@@ -241,7 +242,7 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     rows = R.keyed(work, docs.select(others, "doc_id", "text"), "rest")
     found = near_duplicates(work, rows.select("uid", "doc_id", "text"), width, percent)
     gone = found.where("not stays").select("uid").checkpoint(eager=True)
-    work.drop("members", "reps", "inside", "links", "rooted")
+    work.drop("members", "reps", "inside", "links", "rooted", "ids", "smallest")
     kept = rows.join(gone, "uid", "left_anti")
     return kept.select(*("text" if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns))
 
