@@ -48,7 +48,7 @@ def terms_of(text):
 def test_terms_are_words_and_their_beginnings():
     import pyarrow as pa
 
-    rows = [*texts(), "Ünlü, trash### TRASH! caf\u00e9s", "\u00c9t\u00e9"]
+    rows = [*(t for t in texts() if len(t or "") < 3000), "Ünlü, trash### TRASH! caf\u00e9s", "\u00c9t\u00e9"]
     kept = {}
     for row, n, owner, found in X._hashed(pa.array(rows)):
         for i in range(n):
@@ -139,8 +139,7 @@ def test_op1_equals_brute_force(spark, tmp_path):
     for r in got:
         assert r.held_out == (r.doc_id is not None and out(r.doc_id)) and r.predicted == int(r.score >= 0.5)
         assert abs(r.score - want[text[r.doc_id]]) < 0.02, (r, want[text[r.doc_id]])
-        if terms_of(text[r.doc_id]) and text[r.doc_id] != "zzzz 12 !":
-            assert r.evidence
+        assert r.evidence or "vile" not in (text[r.doc_id] or "").lower()
     tables(spark, str(tmp_path / "c"), unique[:0], labels)
     assert X.op1(spark, str(tmp_path / "c")).count() == 0
 
