@@ -11,8 +11,8 @@ the DENSE terms with most entries hold a weight for each entry of the block, so
 many texts; all other terms list the entries that hold them.  Texts are searched for many at a time: the blocks of the
 largest bounds give each a first k-th best cosine, and of the other blocks those whose bound is below it are skipped, as
 they hold none of the k nearest.  What comes near the k-th best is summed up again in double precision, so that the k
-nearest are exact.  Votes are weighted by distance and calibrated on the examples, each without its own vote and those
-of entries nearer than KIN; the nearest entries are the evidence.
+nearest are exact.  Votes are weighted by distance and calibrated on the examples, each without the vote of its own
+entry; the nearest entries are the evidence.
 
 At most EXAMPLES labelled documents with EXAMPLE_BYTES of text in all are used, chosen by a hash of their ids.
 
@@ -54,8 +54,8 @@ DENSE = 1536
 FIRST_BLOCKS = 4
 #: Texts that are searched for at a time.
 TOGETHER = 256
-#: Cosine from which examples are copies of one another, which do not vote on each other in the calibration.
-KIN = 0.9
+#: Cosine from which an entry is the example itself, which does not vote on itself in the calibration.
+KIN = 1 - 1e-9
 CALIBRATION_TASKS = 32
 _OF_STEM = np.uint64(0x2545F4914F6CDD1D)
 
