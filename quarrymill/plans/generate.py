@@ -8,7 +8,6 @@ from __future__ import annotations
 import hashlib
 import time
 from collections.abc import Callable, Iterator
-from functools import reduce
 from typing import Protocol
 
 import pandas as pd
@@ -188,22 +187,36 @@ def augmented(qa: DataFrame, generator: Generator, key: str = "idx", strategies=
     """Accepted variations (key, augmentation_type, attempt, instruction, response) and all attempts (key,
     augmentation_type, attempt, reason: `ok`, `generation_failed`, or the gate's).
 
-    Each strategy is tried until a variation is accepted: round after round works on what was not, all rows at once.
+    Each strategy is tried until a variation is accepted.  All attempts are one pass: the next one asks for what the one
+    before it did not get accepted, and what is kept are the attempts, without the texts that they began with.
     """
     kinds = F.explode(F.array(*map(F.lit, strategies))).alias("augmentation_type")
-    waiting = qa.select(key, "instruction", "response", kinds)
-    accepted, judged = [], []
+    rows = qa.select(key, "instruction", "response", kinds).withColumn("prompt", variation_prompt(F.col("augmentation_type")))
+    waits = F.lit(True)
     for attempt in range(attempts):
-        asked = waiting.withColumn("prompt", variation_prompt(F.col("augmentation_type")))
-        made = generated(asked, lambda p, i, k=attempt: generator(p, k), 1)
-        new = varied(F.col("augmentation_type"), F.col("output"))
-        made = made.select(*waiting.columns, F.explode(F.array(new)).alias("new"))  # made once, judged by many rules
-        reason = G.variation_reason(F.col("new.q"), F.col("new.a"), F.col("instruction"), F.col("response"))
-        reason = F.when(F.col("new").isNull(), "generation_failed").otherwise(F.coalesce(reason, F.lit("ok")))
-        made = checkpointed(made.select(*waiting.columns, "new", reason.alias("reason")))
-        judged.append(made.select(key, "augmentation_type", F.lit(attempt).alias("attempt"), "reason"))
-        accepted.append(made.where("reason = 'ok'").select(
-            key, "augmentation_type", F.lit(attempt).alias("attempt"), F.col("new.q").alias("instruction"), F.col("new.a").alias("response")
-        ))
-        waiting = made.where("reason <> 'ok'").select(*waiting.columns)
-    return reduce(DataFrame.unionByName, accepted), reduce(DataFrame.unionByName, judged)
+        output, new, reason = f"output_{attempt}", f"new_{attempt}", f"reason_{attempt}"
+        rows = rows.withColumn(output, _asked(generator, attempt)(F.when(waits, F.col("prompt"))))
+        made = varied(F.col("augmentation_type"), F.col(output))
+        rows = rows.select(*rows.columns, F.explode(F.array(made)).alias(new)).drop(output)  # made once, judged by many rules
+        found = G.variation_reason(F.col(f"{new}.q"), F.col(f"{new}.a"), F.col("instruction"), F.col("response"))
+        found = F.when(F.col(new).isNull(), "generation_failed").otherwise(F.coalesce(found, F.lit("ok")))
+        rows = rows.select(*rows.columns, F.explode(F.array(F.when(waits, found))).alias(reason))
+        waits = F.coalesce(F.col(reason) != "ok", F.lit(False))
+    tries = F.array(*(F.struct(
+        F.lit(i).alias("attempt"), F.col(f"reason_{i}").alias("reason"), F.when(F.col(f"reason_{i}") == "ok", F.col(f"new_{i}")).alias("new")
+    ) for i in range(attempts)))
+    done = checkpointed(rows.select(key, "augmentation_type", F.filter(tries, lambda t: t["reason"].isNotNull()).alias("tries")))
+    each = done.select(key, "augmentation_type", F.explode("tries").alias("t"))
+    accepted = each.where("t.reason = 'ok'").select(
+        key, "augmentation_type", "t.attempt", F.col("t.new.q").alias("instruction"), F.col("t.new.a").alias("response")
+    )
+    return accepted, each.select(key, "augmentation_type", "t.attempt", "t.reason")
+
+
+def _asked(generator: Generator, attempt: int):
+    """The generator as a function of a column of prompts; null is not asked for."""
+
+    def run(prompts: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else generator(p, attempt) or None for p in prompts], dtype=object)
+
+    return F.pandas_udf(run, "string").asNondeterministic()

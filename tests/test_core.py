@@ -328,3 +328,18 @@ def test_premium_keeps_one_of_near_copies(spark):
     found = premium.judged(premium.cleaned(qa), words).collect()
     assert {x.idx: x.reason for x in found} == {0: None, 1: None, 2: None, 9: None, 10: "question_length", 11: "answer_length"}
     assert sorted(x.idx for x in premium.premium(qa, words).collect()) == [0, 9]
+
+
+def test_text_expressions_do_not_double(spark):
+    """Words are split, not matched one by one; a text is named once for each prefix that is taken off."""
+    row = spark.range(1).select(F.lit("x").alias("t"))
+    plan = lambda c: row.select(c)._jdf.queryExecution().analyzed().toString()
+    assert plan(T.clean_generated_question(F.col("t"))).count("startswith") == len(T.QUESTION_PREFIXES)
+    for f in (T.word_count, T.words, T.word_set):
+        assert "regexp_extract_all" not in plan(f(F.col("t"))) and "regexp_count" not in plan(f(F.col("t")))
+    assert "composed" not in plan(T.compose(F.col("t"))) and one(spark, None, T.compose) is None
+    assert one(spark, "é​ 가", T.compose) == "é 가"
+    rows = ["", " ", "a", " a\x1cb \x85", None, "a​b c"]
+    df = spark.createDataFrame([(t,) for t in rows], "t string").select("t", T.word_count(F.col("t")).alias("n"), T.words(F.col("t")).alias("w"), T.strip(F.col("t")).alias("s"))
+    for r in df.collect():
+        assert (r.n, r.w, r.s) == ((None, None, None) if r.t is None else (len(r.t.split()), r.t.split(), r.t.strip()))
