@@ -64,7 +64,7 @@ def comprehensive_stats(merged: DataFrame, **sizes: DataFrame) -> DataFrame:
     """section, key, value: totals, languages, lengths by language, histograms of the fields that any row has,
     augmentation ratio, long answers, and the sizes of the named inputs.
 
-    Every row counts for each of its sections in one aggregate, combined before the shuffle.
+    Texts are counted once: rows are combined by their values first, and the combined ones count for each of their sections.
     """
     w, q, p = T.word_count(F.col("response")), T.word_count(F.col("instruction")), T.period_count(F.col("response"))
     fields = {"categories": ("category", "unknown"), "difficulties": ("difficulty", "unknown"), "augmentation_types": ("augmentation_type", "original")}
@@ -73,9 +73,14 @@ def comprehensive_stats(merged: DataFrame, **sizes: DataFrame) -> DataFrame:
     for section, (field, missing) in fields.items():
         if field in merged.columns:
             of.append(F.struct(F.lit(section).alias("section"), F.coalesce(field, F.lit(missing)).alias("key"), F.col(field).isNotNull().alias("there")))
-    each = merged.select(q.alias("q"), w.alias("w"), p.alias("p"), F.explode(F.array(*of)).alias("of")).groupBy("of.section", "of.key").agg(
-        F.count("*").alias("n"), F.sum("q").alias("q"), F.sum("w").alias("w"), F.avg("p").alias("p"), F.min("w").alias("low"),
-        F.max("w").alias("high"), F.bool_or("of.there").alias("there"), *(F.count_if(F.col("w") >= k).alias(f"over_{k}") for k in (60, 80, 100)),
+    values = ["language", *(f for f, _ in fields.values() if f in merged.columns)]
+    parts = merged.select(*values, q.alias("q"), w.alias("w"), p.alias("p")).groupBy(*values).agg(
+        F.count("*").alias("n"), F.sum("q").alias("q"), F.sum("w").alias("w"), F.sum("p").alias("p"), F.count("p").alias("of_p"), F.min("w").alias("low"),
+        F.max("w").alias("high"), *(F.count_if(F.col("w") >= k).alias(f"over_{k}") for k in (60, 80, 100)),
+    )
+    sums = [F.sum(c).alias(c) for c in ("n", "q", "w", *(f"over_{k}" for k in (60, 80, 100)))]
+    each = parts.withColumn("of", F.explode(F.array(*of))).groupBy("of.section", "of.key").agg(
+        *sums, F.try_divide(F.sum("p"), F.sum("of_p")).alias("p"), F.min("low").alias("low"), F.max("high").alias("high"), F.bool_or("of.there").alias("there"),
     )
     each = checkpointed(each)  # a row for each value
     total = F.broadcast(each.where("section = 'all'").select(F.col("n").alias("total"), "over_60", "over_80", "over_100"))

@@ -343,3 +343,15 @@ def test_text_expressions_do_not_double(spark):
     df = spark.createDataFrame([(t,) for t in rows], "t string").select("t", T.word_count(F.col("t")).alias("n"), T.words(F.col("t")).alias("w"), T.strip(F.col("t")).alias("s"))
     for r in df.collect():
         assert (r.n, r.w, r.s) == ((None, None, None) if r.t is None else (len(r.t.split()), r.t.split(), r.t.strip()))
+
+
+def test_statistics_count_texts_before_rows_are_multiplied(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(merge, "checkpointed", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    rows = [("en", "c", None, "one two", "a. b"), (None, "c", None, "one", None), ("fr", None, None, "q", "x y z.")]
+    qa = spark.createDataFrame(rows, "language string, category string, difficulty string, instruction string, response string")
+    found = {(x.section, x.key): x.value for x in merge.comprehensive_stats(qa, english=qa.where("language = 'en'")).collect()}
+    assert plans[0].index("Generate") < plans[0].rindex("Aggregate") < plans[0].index("split(")
+    assert found["total", "pairs"] == 3 and found["languages", "unknown"] == 1 and found["categories", "unknown"] == 1
+    assert found["length_fr", "avg_response_sentences"] == 1 and found["length_unknown", "avg_response_sentences"] is None
+    assert not any(s == "difficulties" for s, _ in found)
