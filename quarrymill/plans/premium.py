@@ -32,11 +32,10 @@ def premium(qa: DataFrame, vocabularies: dict[str, tuple[str, ...]], least: floa
     """idx, language, q, a, score of what remains: chats of another shape than question and answer go, then what a rule
     rejects or scores below `least`, then exact and near-duplicate questions; languages are balanced.
 
-    Cleaned texts are kept, so that rules and score read them and do not clean again.
+    Spark computes a cleaned text once (its NFC is a call that Spark does not repeat), so that only what passes is kept.
     """
     chats = adapters.chat(qa).where(~G.structure_failed(F.col("messages")))
-    clean = checkpointed(cleaned(chats, tuple(vocabularies)))
-    good = judged(clean, vocabularies).where(F.col("reason").isNull() & (F.col("score") >= least))
+    good = judged(cleaned(chats, tuple(vocabularies)), vocabularies).where(F.col("reason").isNull() & (F.col("score") >= least))
     good = checkpointed(good.select("idx", "language", "q", "a", "score"))
     first = dedup.first_of_key(good.withColumn("key", F.concat_ws(":", "language", T.fuzzy_hash(F.col("q")))), "key").select("idx")
     rows = good.join(first, "idx", "left_semi")

@@ -355,3 +355,17 @@ def test_statistics_count_texts_before_rows_are_multiplied(spark, monkeypatch):
     assert found["total", "pairs"] == 3 and found["languages", "unknown"] == 1 and found["categories", "unknown"] == 1
     assert found["length_fr", "avg_response_sentences"] == 1 and found["length_unknown", "avg_response_sentences"] is None
     assert not any(s == "difficulties" for s, _ in found)
+
+
+def test_cleaning_is_one_pass(spark, monkeypatch):
+    """Cleaned texts are not kept on the way to reason and score, and are computed once."""
+    from quarrymill.plans import queries
+
+    kept = []
+    monkeypatch.setattr(premium, "checkpointed", lambda df: kept.append(df.columns) or df)
+    qa = spark.createDataFrame([(0, "What is the risk?", "A risk.", "en")], "idx bigint, instruction string, response string, language string")
+    premium.premium(qa, {"en": ("risk",)})
+    assert kept[0] == ["idx", "language", "q", "a", "score"]
+    monkeypatch.setattr(queries.A, "doc_qa", lambda spark, d: qa)
+    plan = queries.QUERIES["quality_score"](spark, "")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("reflect(") == 2
