@@ -33,9 +33,12 @@ def chunked(c: Column, target: int = 2500, overlap: int = 300) -> Column:
 
 def chunk_documents(docs: DataFrame, target: int = 2500, overlap: int = 300) -> DataFrame:
     """doc_id, text -> a row per chunk, with its place in the document and, from 1, over all documents."""
-    folded = docs.select("doc_id", chunked(F.col("text"), target, overlap).alias("chunks"))
-    each = folded.select("doc_id", F.size("chunks").cast("bigint").alias("total_chunks"), F.posexplode("chunks").alias("at", "text"))
-    return positions(each, ["doc_id", "at"]).select(
+
+    def each(rows: DataFrame) -> DataFrame:
+        folded = rows.select("doc_id", chunked(F.col("text"), target, overlap).alias("chunks"))
+        return folded.select("doc_id", F.size("chunks").cast("bigint").alias("total_chunks"), F.posexplode("chunks").alias("at", "text"))
+
+    return positions(docs.select("doc_id", "text"), ["doc_id"], then=each).select(
         "doc_id", (F.col("before") + 1).alias("chunk_id"), (F.col("at") + 1).cast("bigint").alias("chunk_index"), "total_chunks", "text",
         T.word_count(F.col("text")).alias("word_count"),
     )

@@ -369,3 +369,17 @@ def test_cleaning_is_one_pass(spark, monkeypatch):
     monkeypatch.setattr(queries.A, "doc_qa", lambda spark, d: qa)
     plan = queries.QUERIES["quality_score"](spark, "")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("reflect(") == 2
+
+
+def test_chunks_are_folded_once(spark, monkeypatch):
+    """Ranges are found over documents; the fold comes after, so that no pass of sampling repeats it."""
+    from quarrymill.operators import order
+
+    plans = []
+    keep = order.checkpointed
+    monkeypatch.setattr(order, "checkpointed", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df))
+    docs = spark.createDataFrame([(i, "ab\n\ncd\n\nef") for i in (3, 1, 2, 1)], "doc_id bigint, text string")
+    found = chunk.chunk_documents(docs, 4, 1).collect()
+    assert plans[0].index("aggregate(") < plans[0].index("RepartitionByExpression")
+    rows = sorted((x.chunk_id, x.doc_id, x.chunk_index) for x in found)
+    assert rows == [(i * 2 + k, d, k) for i, d in enumerate((1, 1, 2, 3)) for k in (1, 2)]
