@@ -53,10 +53,17 @@ def tiers(qa: DataFrame) -> DataFrame:
 
 def recommendations(qa: DataFrame) -> DataFrame:
     """advice: one row for each that applies."""
-    w, s = T.word_count(F.col("response")), T.period_count(F.col("response"))
-    totals = qa.agg(
-        F.avg(w).alias("mean"), F.count("*").alias("n"), count_if((w < 50) | (s < 3)).alias("low"), count_if((w >= 80) & (s >= 5)).alias("high"),
-        F.count_distinct(T.question_type(F.col("instruction"))).alias("types"), F.count_distinct("source").alias("sources"),
+    w, s = F.col("w"), F.col("s")
+    counted = qa.select(
+        T.word_count(F.col("response")).alias("w"), T.period_count(F.col("response")).alias("s"), T.question_type(F.col("instruction")).alias("kind"), "source",
+    )
+    # combined by its few kinds and sources, so that a text is counted once and travels nowhere
+    parts = counted.groupBy("kind", "source").agg(
+        F.sum(w).alias("words"), F.count(w).alias("counted"), F.count("*").alias("n"), count_if((w < 50) | (s < 3)).alias("low"), count_if((w >= 80) & (s >= 5)).alias("high")
+    )
+    totals = parts.agg(
+        F.try_divide(F.sum("words"), F.sum("counted")).alias("mean"), F.sum("n").alias("n"), F.sum("low").alias("low"), F.sum("high").alias("high"),
+        F.count_distinct("kind").alias("types"), F.count_distinct("source").alias("sources"),
     )
     rules = (
         ("short_responses", "mean < 60"), ("many_low_quality", "low / n > 0.3"), ("few_question_types", "types < 5"),

@@ -383,3 +383,12 @@ def test_chunks_are_folded_once(spark, monkeypatch):
     assert plans[0].index("aggregate(") < plans[0].index("RepartitionByExpression")
     rows = sorted((x.chunk_id, x.doc_id, x.chunk_index) for x in found)
     assert rows == [(i * 2 + k, d, k) for i, d in enumerate((1, 1, 2, 3)) for k in (1, 2)]
+
+
+def test_recommendations_combine_before_they_count_kinds(spark):
+    qa = spark.createDataFrame([("What is it?", "w " * 10, "a"), ("How?", None, None)], "instruction string, response string, source string")
+    plan = profile.recommendations(qa)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.rindex("Aggregate") < plan.index("split(")
+    assert {x.advice for x in profile.recommendations(qa).collect()} == {"short_responses", "many_low_quality", "few_question_types", "size_modest"}
+    assert {x.advice for x in profile.recommendations(qa.where("response is null")).collect()} == {"few_question_types", "size_modest"}
+    assert profile.recommendations(qa.limit(0)).count() == 0
