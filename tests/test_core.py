@@ -392,3 +392,28 @@ def test_recommendations_combine_before_they_count_kinds(spark):
     assert {x.advice for x in profile.recommendations(qa).collect()} == {"short_responses", "many_low_quality", "few_question_types", "size_modest"}
     assert {x.advice for x in profile.recommendations(qa.where("response is null")).collect()} == {"few_question_types", "size_modest"}
     assert profile.recommendations(qa.limit(0)).count() == 0
+
+
+def test_near_pairs_lose_none(spark):
+    """Pairs at the threshold and over class bounds, against all pairs; candidates are bounded by parts, not by words."""
+    r = random.Random(9)
+    rows = []
+    for n in (1, 2, 6, 7, 13, 20, 34, 41, 100, 117, 118, 230):
+        base = [f"{n}w{k}" for k in range(n)]
+        for cut in (0, n * 15 // 100, n * 15 // 100 + 1):
+            rows.append(base[cut:])
+        for _ in range(6):
+            change = r.randint(0, max(1, n * 16 // 185))
+            rows.append([*base[change:], *(f"x{r.randrange(10**6)}" for _ in range(change))])
+    sets = {}
+    for i, w in enumerate(rows):
+        if w:
+            sets.setdefault(frozenset(w), i)
+    want = {(i, j): len(a & b) / len(a | b) for a, i in sets.items() for b, j in sets.items() if i < j and 100 * len(a & b) >= 85 * len(a | b)}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "idx bigint, text string").repartition(3)
+    reps = dedup.representatives(docs, dedup.set_classes(docs))
+    assert len(want) > 50 and {(x.a, x.b): x.jaccard for x in dedup.near_pairs(reps).collect()} == want
+    assert dict(reps.dtypes)["tokens"] == "array<bigint>"
+    common = spark.createDataFrame([(i, " ".join(f"c{k}" for k in range(40) if (i >> k % 8) & 1)) for i in range(1, 250)], "idx bigint, text string")
+    signs = dedup.signed(dedup.representatives(common, dedup.set_classes(common)), 85)
+    assert signs.groupBy("sign").count().where("count > 1").count() < signs.count() / 4
