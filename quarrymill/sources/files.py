@@ -12,6 +12,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
@@ -121,6 +122,28 @@ def any_layout(spark: SparkSession, path: str, row: str = QA_FIELDS, required: b
     return found.select(F.posexplode(rows).alias("idx", "row")).select(F.col("idx").cast("bigint").alias("idx"), "row.*")
 
 
+def in_pieces(spark: SparkSession, path: str, *fields: str, row: str = QA_FIELDS) -> DataFrame:
+    """The rows of the first of `fields` that a document in pieces (`sinks.write_document`) has, with their place as idx.
+
+    Pieces are read as lines, by as many tasks as they have blocks; a line's place is its place in its block and the lines
+    of the blocks before it, which are a row for each block.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
+    )
+    earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # over a row for each block
+    blocks = lines.groupBy("file", "block").agg(F.min("row").alias("low"), F.count("*").alias("n"))
+    base = blocks.select("file", "block", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("low")).alias("base"))
+    placed = lines.join(F.broadcast(base), ["file", "block"]).select("value", (F.col("base") + F.col("row")).alias("at"))
+    # lines of rows begin with a brace or a comma; others are a few for each section
+    marks = placed.where("not startswith(value, '{') and not startswith(value, ',')").orderBy("at").collect()
+    begins = {m.value: (m.at, marks[i + 1].at) for i, m in enumerate(marks) if m.value.endswith(": [")}
+    low, high = next((begins[f'"{f}": ['] for f in fields if f'"{f}": [' in begins), (0, 0))
+    text = F.when(F.col("value").startswith(","), F.substring("value", 2, 2**31 - 1)).otherwise(F.col("value"))
+    found = placed.where((F.col("at") > low) & (F.col("at") < high))
+    return found.select((F.col("at") - low - 1).alias("idx"), F.from_json(text, row).alias("row")).select("idx", "row.*")
+
+
 def chat_lines(spark: SparkSession, path: str) -> DataFrame:
     """line, messages and reason of every line that is not blank of a file of chats.
 

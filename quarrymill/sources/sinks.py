@@ -32,11 +32,12 @@ def write_rows(rows: DataFrame, path: str, stats: DataFrame | None = None) -> No
         stats.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/stats")
 
 
-def write_document(path: str, order: str, metadata: DataFrame | None = None, **sections: DataFrame) -> None:
+def write_document(path: str, order: str, metadata: DataFrame | None = None, pieces: bool = False, **sections: DataFrame) -> None:
     """One JSON document in one file: `metadata` (a row) and an array for each section, its rows in `order`.
 
     It is an export for readers of single files: one task writes it, line by line, and holds no section; large data are
-    written by `write_rows`.
+    written by `write_rows`, or in pieces: files that are the document when they are put together by name, each written by
+    a task of its own, and that `files.in_pieces` reads by many tasks.
     """
     spark = next(iter(sections.values())).sparkSession
     one = lambda k, text: spark.createDataFrame([(k, None, 0, text)], "part int, place bigint, side int, value string")
@@ -59,7 +60,8 @@ def write_document(path: str, order: str, metadata: DataFrame | None = None, **s
     every = lines[0]
     for x in lines[1:]:
         every = every.unionByName(x)
-    ordered = every.repartitionByRange(1, "part", "place").sortWithinPartitions("part", "place")
+    dealt = every.repartitionByRange("part", "place") if pieces else every.repartitionByRange(1, "part", "place")
+    ordered = dealt.sortWithinPartitions("part", "place")
     ordered.select("value").write.mode("overwrite").text(path)
 
 
@@ -77,14 +79,14 @@ def overlay(base: F.Column, changes: F.Column) -> F.Column:
     return F.map_concat(F.map_filter(base, lambda k, v: ~F.map_contains_key(changes, k)), changes)
 
 
-def write_overlaid(rows: DataFrame, path: str, metadata: dict[str, str], order: str = "idx", **changes: str) -> None:
+def write_overlaid(rows: DataFrame, path: str, metadata: dict[str, str], order: str = "idx", pieces: bool = False, **changes: str) -> None:
     """A document of rows whose metadata are those of another, with changes and the number of rows."""
     as_map = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
     counted = rows.agg(F.count("*").cast("string").alias("n"))
     whole = overlay(as_map(metadata), F.map_concat(as_map(changes), F.create_map(F.lit("total_pairs"), F.col("n"))))
     names = list(dict.fromkeys([*metadata, *changes, "total_pairs"]))
     meta = counted.select(whole.alias("m")).select(*(F.col("m")[n].alias(n) for n in names))
-    write_document(path, order, meta, dataset=rows)
+    write_document(path, order, meta, pieces, dataset=rows)
 
 
 #: Files of a finished set, and what each is for.

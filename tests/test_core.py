@@ -417,3 +417,26 @@ def test_near_pairs_lose_none(spark):
     common = spark.createDataFrame([(i, " ".join(f"c{k}" for k in range(40) if (i >> k % 8) & 1)) for i in range(1, 250)], "idx bigint, text string")
     signs = dedup.signed(dedup.representatives(common, dedup.set_classes(common)), 85)
     assert signs.groupBy("sign").count().where("count > 1").count() < signs.count() / 4
+
+
+def test_documents_in_pieces(spark, tmp_path):
+    """Many tasks write and read the document; put together by name the pieces are the document."""
+    import json
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        qa = spark.createDataFrame([(i * 3, f"q{i}", None if i % 2 else 'é\n\r", {]') for i in range(99)], "idx bigint, instruction string, response string")
+        path = str(tmp_path / "d")
+        sinks.write_document(path, "idx", spark.createDataFrame([(9,)], "total bigint"), pieces=True, first=qa.limit(0), dataset=qa.repartition(3))
+        parts = sorted((tmp_path / "d").glob("part-*"))
+        whole = json.loads("".join(p.read_text() for p in parts))
+        assert len(parts) > 1 and whole["first"] == [] and whole["metadata"] == {"total": 9}
+        found = files.in_pieces(spark, path, "none", "dataset")
+        assert found.rdd.getNumPartitions() > len(parts)
+        rows = sorted(found.collect())
+        assert [(x.idx, x.instruction, x.response) for x in rows] == [(i, r["instruction"], r["response"]) for i, r in enumerate(whole["dataset"])]
+        assert len(rows) == 99 and files.in_pieces(spark, path, "none").count() == files.in_pieces(spark, path, "first").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
