@@ -440,3 +440,15 @@ def test_documents_in_pieces(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_heavy_text_steps_have_plain_plans(spark):
+    """Cleaning and free text run without Python and without matching word by word; what is blank at the ends is trimmed."""
+    from quarrymill.plans import premium as M
+
+    qa = spark.createDataFrame([(0, "Is « it » ?", "é " * 3, "en", "a")], "idx bigint, instruction string, response string, language string, text string")
+    plans = [M.cleaned(qa), M.judged(M.cleaned(qa), G.KEYWORDS), qa.select(T.split_question_answer(F.col("text"))), qa.select(T.clean_document(F.col("text")))]
+    for plan in (p._jdf.queryExecution().optimizedPlan().toString() for p in plans):
+        assert "Python" not in plan and "regexp_extract_all" not in plan and f"^{T.WS}+|" not in plan
+    assert M.cleaned(qa).first().a == "É é é."
+    assert one(spark, "a bĀé　c​", T.clean_document) == "a bé　c"
