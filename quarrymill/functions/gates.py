@@ -109,7 +109,7 @@ def cleaning_reason(q: Column, a: Column, keywords, language: Column | None = No
     """The first of all rules after cleaning, in their order."""
     return first_failure(
         *length_rules(q, a),
-        ("incomplete", ~a.rlike("[.!?]\\z")), ("low_info", T.low_information(a)), ("structure_bad", ~T.has_structure(a)),
+        ("incomplete", ~T.ends_sentence(a)), ("low_info", T.low_information(a)), ("structure_bad", ~T.has_structure(a)),
         ("grammar", ~T.grammar_ok(q)), ("off_subject", keywords_present(F.concat(q, F.lit(" "), a), keywords, language) < 1),
         ("placeholders", T.has_placeholder(q) | T.has_placeholder(a)), ("repetitive", T.is_repetitive(a)),
     )
@@ -124,6 +124,6 @@ def quality_score(q: Column, a: Column, keywords, language: Column | None = None
     taken = (
         less(T.word_count(q) < 5, 2.0) + less(T.word_count(a) < 20, 2.0) + less(T.word_count(a) > 500, 1.0)
         + less(full < 2, 1.5) + less(found < 2, 2.0) + less(T.has_placeholder(q) | T.has_placeholder(a), 3.0)
-        + less(T.is_repetitive(a), 2.0) + less(~T.strip(a).rlike("[.!?]\\z"), 1.0)
+        + less(T.is_repetitive(a), 2.0) + less(~T.ends_sentence(T.strip(a)), 1.0)
     )
     return F.greatest(F.lit(0.0), F.lit(10.0) - taken)

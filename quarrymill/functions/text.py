@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +13,10 @@ from pyspark.sql import functions as F
 # Unicode white space and word characters, as a regular expression's classes.
 SPACES = r"\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WS, NOT_WS = f"[{SPACES}]", f"[^{SPACES}]"
+#: The same classes for Spark alone.  Java asks the parts of a class one by one: here single characters below 256, which are one
+#: part, then a range that few others are in; the classes above take ten questions for each letter.
+_BLANK = r"\t\n\x{b}\f\r\x{1c}\x{1d}\x{1e}\x{1f} \x{85}\x{a0}[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
+_WS, _NOT_WS = f"[{_BLANK}]", f"[^{_BLANK}]"
 #: The same white space, as characters.
 BLANKS = "".join(chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace())
 WORD, NOT_WORD = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
@@ -49,6 +55,12 @@ def replaced(c: Column, *pairs: tuple[str, str]) -> Column:
     return c
 
 
+def where_any(c: Column, parts: tuple[str, ...], change: Callable[[Column], Column]) -> Column:
+    """change(c) for texts with one of the parts, without which it changes nothing; looking for parts costs far less than
+    matching at every place."""
+    return let(c, lambda x: F.when(reduce(or_, (x.contains(p) for p in parts)), change(x)).otherwise(x))
+
+
 def strip(c: Column) -> Column:
     return F.trim(c, F.lit(BLANKS))
 
@@ -60,11 +72,11 @@ def n_chars(c: Column) -> Column:
 def word_count(c: Column) -> Column:
     """Between two blanks a text splits to its words and an empty part at either end; matching words one by one takes
     about ten times as long."""
-    return long(F.array_size(F.split(F.concat(F.lit(" "), c, F.lit(" ")), f"{WS}+", -1)) - 2)
+    return long(F.array_size(F.split(F.concat(F.lit(" "), c, F.lit(" ")), f"{_WS}+", -1)) - 2)
 
 
 def words(c: Column) -> Column:
-    return F.array_remove(F.split(c, f"{WS}+", -1), "")
+    return F.array_remove(F.split(c, f"{_WS}+", -1), "")
 
 
 def word_set(c: Column) -> Column:
@@ -75,6 +87,10 @@ def period_count(c: Column) -> Column:
     return long(F.length(c) - F.length(F.replace(c, F.lit("."), F.lit(""))))
 
 
+def ends_sentence(c: Column) -> Column:
+    return F.substring(c, -1, 1).isin(".", "!", "?")
+
+
 def sentences(c: Column) -> Column:
     return F.transform(F.split(c, "[.!?]+", -1), strip)
 
@@ -106,7 +122,7 @@ def short_key(c: Column, n: int = 70) -> Column:
 
 
 def normalized(c: Column) -> Column:
-    return strip(replaced(F.lower(c), (f"[^\\p{{L}}\\p{{N}}_{SPACES}]", ""), (f"{WS}+", " ")))
+    return strip(replaced(F.lower(c), (f"[^\\p{{L}}\\p{{N}}_{SPACES}]", ""), (f"{_WS}+", " ")))
 
 
 def fuzzy_hash(c: Column) -> Column:
@@ -116,24 +132,29 @@ def fuzzy_hash(c: Column) -> Column:
 def compose(c: Column) -> Column:
     """NFC, by the ICU library that comes with Spark, and without zero-width spaces and byte-order marks."""
     nfc = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(False))
-    return F.translate(F.when(c.isNotNull(), nfc), chr(0x200B) + chr(0xFEFF), "")
+    return F.replace(F.replace(F.when(c.isNotNull(), nfc), F.lit(chr(0x200B)), F.lit("")), F.lit(chr(0xFEFF)), F.lit(""))
 
 
 def drop_links(c: Column) -> Column:
     mail = f"{EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Z|a-z]{{2,}}{EDGE}"
-    return replaced(c, (f"https?://{NOT_WS}+|www\\.{NOT_WS}+", ""), (mail, ""))
-
-
-def tidy_spaces(c: Column) -> Column:
-    return strip(replaced(
-        F.replace(c, F.lit("\t"), F.lit(" ")), (" {2,}", " "), (f"{WS}+([.,!?;:])", "$1"), (f"([.,!?;:])(?={NOT_WS})", "$1 ")
-    ))
+    c = where_any(c, ("://", "www."), lambda x: replaced(x, (f"https?://{_NOT_WS}+|www\\.{_NOT_WS}+", "")))
+    return where_any(c, ("@",), lambda x: replaced(x, (mail, "")))
 
 
 def tidy_marks(c: Column) -> Column:
-    c = replaced(c, ("\\.{2,}", "."), ("\\?{2,}", "?"), ("!{2,}", "!"), (",{2,}", ","), (f"{WS}+([.,])", "$1"))
-    c = replaced(c, ("([^.!?])\\z", "$1."))
-    return replaced(c, (f"([.!?,;:]){WS}+", "$1 "))
+    """Single blanks, none before a mark and one after it, at the end a full stop where no sentence ends.
+
+    The rules are: runs of blanks become one; blanks before marks go; a mark that something follows gets a blank; then equal
+    marks become one, blanks before full stops and commas go, and blanks after marks become one.  After the third there are
+    no two marks side by side, and before a mark there is nothing but that rule's blank, so that the first four rules on
+    blanks are one match of a mark with what is blank around it, and the others are plain replacements.
+    """
+    c = where_any(F.replace(c, F.lit("\t"), F.lit(" ")), ("  ",), lambda x: replaced(x, (" {2,}", " ")))
+    # a run is looked at from its first blank only
+    c = strip(replaced(c, (f"(?:{_WS}(?<!{_WS}{{2}}){_WS}*+)?([.,!?;:]){_WS}*+", "$1 ")))
+    for mark in ".,":
+        c = F.replace(c, F.lit(f" {mark}"), F.lit(mark))
+    return let(c, lambda x: F.when((x != "") & ~ends_sentence(x), F.concat(x, F.lit("."))).otherwise(x))
 
 
 def tidy_capitals(c: Column) -> Column:
@@ -141,16 +162,25 @@ def tidy_capitals(c: Column) -> Column:
         first = F.substring(x, 1, 1)
         return F.when(first.rlike("\\p{Ll}"), F.concat(F.upper(first), F.substring(x, 2, 2**31 - 1))).otherwise(x)
 
-    # what stands before a term is looked at where the term is, not at every place
-    return replaced(let(c, raised), *((f"(?i){a}(?<!{WORD}{a})(?!{WORD})", b) for a, b in TERMS))
+    def name(low: Column, a: str, b: str) -> Callable[[Column], Column]:
+        # what stands before a term is looked at where the term is, not at every place
+        return lambda x: F.when(low.contains(a), replaced(x, (f"(?i){a}(?<!{WORD}{a})(?!{WORD})", b))).otherwise(x)
+
+    def named(x: Column, low: Column) -> Column:
+        for a, b in TERMS:
+            x = let(x, name(low, a, b))
+        return x
+
+    return let(let(c, raised), lambda x: let(F.lower(x), lambda low: named(x, low)))
 
 
 def clean_text(c: Column, language: Column | str) -> Column:
     """The whole cleaning of questions and answers, for a language or a column of languages; null becomes empty."""
-    c = tidy_capitals(tidy_marks(tidy_spaces(drop_links(compose(F.coalesce(c, F.lit("")))))))
+    c = tidy_capitals(tidy_marks(drop_links(compose(F.coalesce(c, F.lit(""))))))
 
     def quoted(x: Column) -> Column:
-        return F.replace(replaced(x, (f"«{WS}*", "« "), (f"{WS}*»", " »")), F.lit("' "), F.lit("'"))
+        x = where_any(x, ("«",), lambda y: replaced(y, (f"«{_WS}*", "« ")))
+        return F.replace(where_any(x, ("»",), lambda y: replaced(y, (f"{_WS}*»", " »"))), F.lit("' "), F.lit("'"))
 
     if isinstance(language, str):
         return strip(quoted(c) if language == "fr" else c)
@@ -158,7 +188,13 @@ def clean_text(c: Column, language: Column | str) -> Column:
 
 
 def has_placeholder(c: Column) -> Column:
-    return c.rlike("(?i)\\[[^\\n]*?\\]|\\{[^\\n]*?\\}|XXX+|TODO|\\.\\.\\.|<[^\\n]*?>")
+    def found(x: Column) -> Column:
+        pairs = (x.contains(a) & x.contains(b) & x.rlike(f"\\{a}[^\\n]*?\\{b}") for a, b in ("[]", "{}"))
+        tags = x.contains("<") & x.rlike("<[^\\n]*?>")
+        words = let(F.lower(x), lambda low: low.contains("xxx") | low.contains("todo"))
+        return reduce(or_, pairs) | tags | x.contains("...") | words
+
+    return let(c, found)
 
 
 def is_repetitive(c: Column) -> Column:
@@ -168,8 +204,11 @@ def is_repetitive(c: Column) -> Column:
         return F.exists(F.sequence(F.lit(0), F.size(ranked) - 1), lambda i: F.coalesce(F.get(ranked, i) == F.get(ranked, i + 2), F.lit(False)))
 
     def triples(w: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.array_join(F.slice(w, i, 3), " "))
-        return F.when(F.size(w) >= 10, let(F.sort_array(grams), thrice)).otherwise(False)
+        """Sequences are compared where three of their hashes are equal."""
+        places = F.sequence(F.lit(1), F.size(w) - 2)
+        hashes = F.transform(places, lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)))
+        grams = F.transform(places, lambda i: F.array_join(F.slice(w, i, 3), " "))
+        return F.when(F.size(w) >= 10, let(F.sort_array(hashes), thrice) & let(F.sort_array(grams), thrice)).otherwise(False)
 
     return let(words(c), triples)
 

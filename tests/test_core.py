@@ -452,3 +452,44 @@ def test_heavy_text_steps_have_plain_plans(spark):
         assert "Python" not in plan and "regexp_extract_all" not in plan and f"^{T.WS}+|" not in plan
     assert M.cleaned(qa).first().a == "É é é."
     assert one(spark, "a bĀé　c​", T.clean_document) == "a bé　c"
+
+
+# Blanks of several kinds, marks and what stands between them.
+ODD = (" ", " ", "  ", "\n", "\n\n", "\t", "\x1c", "\x85", "\xa0", " ", "　", ".", ",", "!", "?", ";", ":", "..", "a", "B", "é", "«", "😀")
+
+
+def odd_texts(n: int) -> list[str]:
+    pick = random.Random(5)
+    return ["", " ", ".", " . ", "\n", *("".join(pick.choice(ODD) for _ in range(pick.randrange(1, 25))) for _ in range(n))]
+
+
+def plan_of(spark, f) -> str:
+    return spark.createDataFrame([("",)], "t string").select(f(F.col("t")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_marks_are_tidied_in_one_match_as_by_their_rules(spark):
+    """score_summary, default_vocabulary_reasons, clean_text_en: the ten rules, one after the other, and how many patterns run."""
+
+    def by_rules(t: str) -> str:
+        for p, by in ((r"\t", " "), (" {2,}", " "), (r"\s+([.,!?;:])", r"\1"), (r"([.,!?;:])(?=\S)", r"\1 ")):
+            t = re.sub(p, by, t)
+        t = t.strip()
+        for p, by in ((r"\.{2,}", "."), (r"\?{2,}", "?"), ("!{2,}", "!"), (",{2,}", ","), (r"\s+([.,])", r"\1"), (r"([^.!?])\Z", r"\1."), (r"([.!?,;:])\s+", r"\1 ")):
+            t = re.sub(p, by, t)
+        return t
+
+    df = spark.createDataFrame([(t,) for t in odd_texts(1500)], "t string").select("t", T.tidy_marks(F.col("t")).alias("n"))
+    assert [r for r in df.collect() if r.n != by_rules(r.t)] == []
+    plan = plan_of(spark, lambda c: T.clean_text(c, "en"))
+    assert T.WS not in plan and T.NOT_WS not in plan and "translate(" not in plan
+    assert plan.count("regexp_replace(") == 4 + len(T.TERMS)  # links, addresses, runs of blanks, marks; all but one where needed
+
+
+def test_judging_looks_for_parts_before_it_matches(spark):
+    """score_summary: no pattern runs over a whole text for its end or a placeholder, and sequences are hashed."""
+    plan = plan_of(spark, lambda c: G.quality_score(c, c, {"en": ("the",)}, F.lit("en")))
+    assert "xxhash64" in plan and T.WS not in plan and "[.!?]\\z" not in plan and "XXX+" not in plan
+    for t, found in (("a [b] c", True), ("a ]b[", False), ("{\n}", False), ("< >", True), ("toDo", True), ("xXx", True), ("xx", False), ("a...", True), ("", False)):
+        assert one(spark, t, T.has_placeholder) is found
+    assert one(spark, "a b c " * 3 + "d", T.is_repetitive) and not one(spark, "a b c " * 2 + "d e f g", T.is_repetitive)
+    assert one(spark, "so?", T.ends_sentence) and not one(spark, "so? ", T.ends_sentence) and not one(spark, "", T.ends_sentence)
