@@ -114,7 +114,9 @@ def detect_language(c: Column) -> Column:
 
 def clean_document(c: Column) -> Column:
     """Blank runs of three and more become two; characters above Latin-1 go, but for white space."""
-    return strip(replaced(c, ("\\n{3,}", "\n\n"), (f"[[^\\x{{0}}-\\x{{ff}}]&&{NOT_WS}]", "")))
+    c = where_any(c, ("\n\n\n",), lambda x: replaced(x, ("\\n{3,}", "\n\n")))
+    above = (f"[\\x{{100}}-\\x{{10ffff}}&&{_NOT_WS}]", "")
+    return strip(let(c, lambda x: F.when(F.octet_length(x) > F.length(x), replaced(x, above)).otherwise(x)))
 
 
 def short_key(c: Column, n: int = 70) -> Column:

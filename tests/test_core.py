@@ -493,3 +493,17 @@ def test_judging_looks_for_parts_before_it_matches(spark):
         assert one(spark, t, T.has_placeholder) is found
     assert one(spark, "a b c " * 3 + "d", T.is_repetitive) and not one(spark, "a b c " * 2 + "d e f g", T.is_repetitive)
     assert one(spark, "so?", T.ends_sentence) and not one(spark, "so? ", T.ends_sentence) and not one(spark, "", T.ends_sentence)
+
+
+def test_documents_are_matched_only_where_they_must(spark):
+    """doc_clean_filter: runs of lines and characters above Latin-1 are looked for first; words end at a short class of blanks."""
+    plan = plan_of(spark, lambda c: T.word_count(T.clean_document(c)))
+    assert "octet_length" in plan and "contains" in plan.lower() and T.WS not in plan and T.NOT_WS not in plan
+
+    def by_rules(t: str) -> str:
+        return "".join(x for x in re.sub("\n{3,}", "\n\n", t) if x <= "\xff" or x.isspace()).strip()
+
+    rows = [t + "\n" * k + t for k, t in enumerate(odd_texts(300))]
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    df = df.select("t", T.clean_document(F.col("t")).alias("c"), T.word_count(F.col("t")).alias("n"))
+    assert [r for r in df.collect() if r.c != by_rules(r.t) or r.n != len(r.t.split())] == []
