@@ -288,7 +288,7 @@ def _without(c: Column, prefixes) -> Column:
 
     for p in prefixes:  # each step names its text once; as plain columns the steps would double with every prefix
         c = let(c, cut(p))
-    return strip(replaced(c, ("^[\"']+|[\"']+\\z", "")))
+    return strip(F.trim(c, F.lit("\"'")))
 
 
 def clean_generated_question(c: Column) -> Column:
@@ -325,7 +325,7 @@ def split_question_answer(c: Column) -> Column:
         return F.when(a.isNotNull(), split).otherwise(rest)
 
     def finish(x: Column) -> Column:
-        x = strip(replaced(x, ("^[\"']+|[\"']+\\z", "")))
+        x = strip(F.trim(x, F.lit("\"'")))
         for p in FREE_PREFIXES:
             x = strip(F.replace(x, F.lit(p), F.lit("")))
         return x

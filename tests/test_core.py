@@ -507,3 +507,12 @@ def test_documents_are_matched_only_where_they_must(spark):
     df = spark.createDataFrame([(t,) for t in rows], "t string")
     df = df.select("t", T.clean_document(F.col("t")).alias("c"), T.word_count(F.col("t")).alias("n"))
     assert [r for r in df.collect() if r.c != by_rules(r.t) or r.n != len(r.t.split())] == []
+
+
+def test_quotes_at_the_ends_are_trimmed_without_a_pattern(spark):
+    """free_text_qa_split, augment_pairs."""
+    plan = plan_of(spark, T.split_question_answer)
+    assert "regexp_replace" not in plan and T.WS not in plan
+    text = "\"'What is it, then?'\"\n" + "\"" + "it is so " * 20 + "'\"'"
+    found = one(spark, text, T.split_question_answer)
+    assert found.instruction == "What is it, then?" and found.response == ("it is so " * 20).strip()
