@@ -121,9 +121,13 @@ def quality_score(q: Column, a: Column, keywords, language: Column | None = None
 
     full = F.size(F.filter(T.sentences(a), lambda s: s != ""))
     found = keywords_present(F.concat(q, F.lit(" "), a), keywords, language)
+
+    def by_words(w: Column) -> Column:
+        return less(F.array_size(w) < 20, 2.0) + less(F.array_size(w) > 500, 1.0) + less(T.repeats_thrice(w), 2.0)
+
     taken = (
-        less(T.word_count(q) < 5, 2.0) + less(T.word_count(a) < 20, 2.0) + less(T.word_count(a) > 500, 1.0)
+        less(T.word_count(q) < 5, 2.0) + T.let(T.words(a), by_words)  # an answer is cut into words once
         + less(full < 2, 1.5) + less(found < 2, 2.0) + less(T.has_placeholder(q) | T.has_placeholder(a), 3.0)
-        + less(T.is_repetitive(a), 2.0) + less(~T.ends_sentence(T.strip(a)), 1.0)
+        + less(~T.ends_sentence(T.strip(a)), 1.0)
     )
     return F.greatest(F.lit(0.0), F.lit(10.0) - taken)

@@ -516,3 +516,19 @@ def test_quotes_at_the_ends_are_trimmed_without_a_pattern(spark):
     text = "\"'What is it, then?'\"\n" + "\"" + "it is so " * 20 + "'\"'"
     found = one(spark, text, T.split_question_answer)
     assert found.instruction == "What is it, then?" and found.response == ("it is so " * 20).strip()
+
+
+def test_answers_are_cut_into_words_once_for_their_score(spark):
+    """score_summary: one split for the number of words and what repeats, whose hashes are sorted only if two are left over."""
+    plan = plan_of(spark, lambda c: G.quality_score(F.lit("what is it"), c, {"en": ("the",)}, F.lit("en")))
+    assert plan.count("split(") == 2 and "array_distinct(" in plan  # words and sentences
+    pick = random.Random(9)
+    texts = ["", "a", "a b c " * 3, "a " * 12, "a " * 9, "x y " + "a b " * 4 + "z", *(" ".join(pick.choice("abcd") for _ in range(pick.randrange(8, 60))) for _ in range(400))]
+
+    def repeats(t: str) -> bool:
+        w = t.split()
+        grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        return len(w) >= 10 and max(map(grams.count, grams)) > 2
+
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.is_repetitive(F.col("t")).alias("r")).collect()
+    assert [r for r in rows if r.r is not repeats(r.t)] == [] and {r.r for r in rows} == {True, False}
