@@ -91,18 +91,18 @@ def length_rules(q: Column, a: Column) -> list[tuple[str, Column]]:
     ]
 
 
-def keywords_present(c: Column, keywords, language: Column | None = None) -> Column:
-    """How many of the keywords occur; `keywords` may be one vocabulary, or one for each language."""
+def keywords_in(low: Column, keywords, language: Column | None = None) -> Column:
+    """How many of the keywords occur in a text in lower case; `keywords` may be one vocabulary, or one for each language."""
     if language is None:
-        return T.let(F.lower(c), lambda low: T.phrases_present(low, keywords))
+        return T.phrases_present(low, keywords)
+    out = F.lit(0).cast("bigint")
+    for name, words in keywords.items():
+        out = F.when(language == name, T.phrases_present(low, words)).otherwise(out)
+    return out
 
-    def found(low: Column) -> Column:
-        out = F.lit(0).cast("bigint")
-        for name, words in keywords.items():
-            out = F.when(language == name, T.phrases_present(low, words)).otherwise(out)
-        return out
 
-    return T.let(F.lower(c), found)
+def keywords_present(c: Column, keywords, language: Column | None = None) -> Column:
+    return T.let(F.lower(c), lambda low: keywords_in(low, keywords, language))
 
 
 def cleaning_reason(q: Column, a: Column, keywords, language: Column | None = None) -> Column:
@@ -119,15 +119,18 @@ def quality_score(q: Column, a: Column, keywords, language: Column | None = None
     def less(condition: Column, points: float) -> Column:
         return F.when(F.coalesce(condition, F.lit(False)), points).otherwise(0.0)
 
-    full = F.size(F.filter(T.sentences(a), lambda s: s != ""))
-    found = keywords_present(F.concat(q, F.lit(" "), a), keywords, language)
+    def by_lower(low: Column) -> Column:
+        # "xxx" and "todo" have no blank, so that they are in both texts joined by one if they are in either
+        found = keywords_in(F.when(q.isNotNull() & a.isNotNull(), low), keywords, language)
+        open_ = T.let(q, T.is_bracketed) | T.let(a, T.is_bracketed) | T.is_unfinished(low)
+        return less(found < 2, 2.0) + less(open_, 3.0)
 
     def by_words(w: Column) -> Column:
         return less(F.array_size(w) < 20, 2.0) + less(F.array_size(w) > 500, 1.0) + less(T.repeats_thrice(w), 2.0)
 
     taken = (
         less(T.word_count(q) < 5, 2.0) + T.let(T.words(a), by_words)  # an answer is cut into words once
-        + less(full < 2, 1.5) + less(found < 2, 2.0) + less(T.has_placeholder(q) | T.has_placeholder(a), 3.0)
-        + less(~T.ends_sentence(T.strip(a)), 1.0)
+        + T.let(F.lower(F.concat_ws(" ", q, a)), by_lower)  # and both are put into lower case once
+        + less(~T.has_sentences(a), 1.5) + less(~T.let(T.strip(a), T.ends_sentence), 1.0)
     )
     return F.greatest(F.lit(0.0), F.lit(10.0) - taken)

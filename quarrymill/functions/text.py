@@ -61,6 +61,11 @@ def where_any(c: Column, parts: tuple[str, ...], change: Callable[[Column], Colu
     return let(c, lambda x: F.when(reduce(or_, (x.contains(p) for p in parts)), change(x)).otherwise(x))
 
 
+def swapped(c: Column, part: str, by: str) -> Column:
+    """`replace` compares whole parts at every place, `contains` only where the first byte is the same."""
+    return where_any(c, (part,), lambda x: F.replace(x, F.lit(part), F.lit(by)))
+
+
 def strip(c: Column) -> Column:
     return F.trim(c, F.lit(BLANKS))
 
@@ -88,13 +93,20 @@ def period_count(c: Column) -> Column:
 
 
 def ends_sentence(c: Column) -> Column:
-    return F.substring(c, -1, 1).isin(".", "!", "?")
+    return c.endswith(".") | c.endswith("!") | c.endswith("?")
 
 
 def sentences(c: Column) -> Column:
     return F.transform(F.split(c, "[.!?]+", -1), strip)
 
 
+def has_sentences(c: Column) -> Column:
+    """Two sentences or more that are not blank: a part ends at marks and all marks and blanks after them, so that only the
+    first one may be blank, and the second one or the rest empty."""
+    parts = F.split(c, f"[.!?][{_BLANK}.!?]*+", 3)
+    return let(parts, lambda ps: F.size(F.filter(ps, lambda s, i: F.when(i == 0, strip(s)).otherwise(s) != "")) >= 2)
+
+
 def content_word_count(c: Column) -> Column:
     """Words of more than four characters."""
     return long(F.size(F.filter(words(c), lambda w: F.length(w) > 4)))
@@ -134,7 +146,7 @@ def fuzzy_hash(c: Column) -> Column:
 def compose(c: Column) -> Column:
     """NFC, by the ICU library that comes with Spark, and without zero-width spaces and byte-order marks."""
     nfc = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(False))
-    return F.replace(F.replace(F.when(c.isNotNull(), nfc), F.lit(chr(0x200B)), F.lit("")), F.lit(chr(0xFEFF)), F.lit(""))
+    return swapped(swapped(F.when(c.isNotNull(), nfc), chr(0x200B), ""), chr(0xFEFF), "")
 
 
 def drop_links(c: Column) -> Column:
@@ -148,14 +160,19 @@ def tidy_marks(c: Column) -> Column:
 
     The rules are: runs of blanks become one; blanks before marks go; a mark that something follows gets a blank; then equal
     marks become one, blanks before full stops and commas go, and blanks after marks become one.  After the third there are
-    no two marks side by side, and before a mark there is nothing but that rule's blank, so that the first four rules on
-    blanks are one match of a mark with what is blank around it, and the others are plain replacements.
+    no two marks side by side, and before a mark there is nothing but that rule's blank, which full stops and commas lose
+    again.  So the first two rules are one match, for texts that need it, and the others one of marks with the blanks after
+    them.  Marks are looked for, being rarer than blanks, and those that have one blank after them are left.
     """
-    c = where_any(F.replace(c, F.lit("\t"), F.lit(" ")), ("  ",), lambda x: replaced(x, (" {2,}", " ")))
-    # a run is looked at from its first blank only
-    c = strip(replaced(c, (f"(?:{_WS}(?<!{_WS}{{2}}){_WS}*+)?([.,!?;:]){_WS}*+", "$1 ")))
-    for mark in ".,":
-        c = F.replace(c, F.lit(f" {mark}"), F.lit(mark))
+    marks = ".,!?;:"
+
+    def joined(x: Column) -> Column:
+        # a run is looked at from its first blank only
+        runs = replaced(x, (f"{_WS}(?<!{_WS}{{2}}){_WS}*+(?=[{marks}])|( ) ++", "$1"))
+        return F.when(x.contains("  ") | x.rlike(f"[{marks}](?<={_WS}[{marks}])"), runs).otherwise(x)
+
+    c = let(swapped(c, "\t", " "), joined)
+    c = strip(replaced(c, (f"([{marks}])(?! [^{_BLANK}{marks}]|[.,]|\\z){_WS}*+", "$1 ")))
     return let(c, lambda x: F.when((x != "") & ~ends_sentence(x), F.concat(x, F.lit("."))).otherwise(x))
 
 
@@ -182,21 +199,26 @@ def clean_text(c: Column, language: Column | str) -> Column:
 
     def quoted(x: Column) -> Column:
         x = where_any(x, ("«",), lambda y: replaced(y, (f"«{_WS}*", "« ")))
-        return F.replace(where_any(x, ("»",), lambda y: replaced(y, (f"{_WS}*»", " »"))), F.lit("' "), F.lit("'"))
+        return swapped(where_any(x, ("»",), lambda y: replaced(y, (f"{_WS}*»", " »"))), "' ", "'")
 
     if isinstance(language, str):
         return strip(quoted(c) if language == "fr" else c)
     return strip(let(c, lambda x: F.when(language == "fr", quoted(x)).otherwise(x)))
 
 
-def has_placeholder(c: Column) -> Column:
-    def found(x: Column) -> Column:
-        pairs = (x.contains(a) & x.contains(b) & x.rlike(f"\\{a}[^\\n]*?\\{b}") for a, b in ("[]", "{}"))
-        tags = x.contains("<") & x.rlike("<[^\\n]*?>")
-        words = let(F.lower(x), lambda low: low.contains("xxx") | low.contains("todo"))
-        return reduce(or_, pairs) | tags | x.contains("...") | words
+def is_bracketed(x: Column) -> Column:
+    """Something in brackets, or an ellipsis."""
+    pairs = (x.contains(a) & x.contains(b) & x.rlike(f"\\{a}[^\\n]*?\\{b}") for a, b in ("[]", "{}"))
+    return reduce(or_, pairs) | (x.contains("<") & x.rlike("<[^\\n]*?>")) | x.contains("...")
+
+
+def is_unfinished(low: Column) -> Column:
+    """Words that stand for others, in a text in lower case."""
+    return low.contains("xxx") | low.contains("todo")
 
-    return let(c, found)
+
+def has_placeholder(c: Column) -> Column:
+    return let(c, lambda x: is_bracketed(x) | let(F.lower(x), is_unfinished))
 
 
 def repeats_thrice(w: Column) -> Column:

@@ -532,3 +532,22 @@ def test_answers_are_cut_into_words_once_for_their_score(spark):
 
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.is_repetitive(F.col("t")).alias("r")).collect()
     assert [r for r in rows if r.r is not repeats(r.t)] == [] and {r.r for r in rows} == {True, False}
+
+
+def test_texts_are_put_into_lower_case_once_and_searched_before_they_change(spark):
+    """score_summary: one lower case for keywords and placeholders of both texts, sentences cut no further than the second
+    one, ends looked at from the end, and plain replacements only where there is something to replace."""
+    plan = plan_of(spark, lambda c: G.quality_score(c, c, {"en": ("the",)}, F.lit("en")))
+    assert plan.count("lower(") == 1 and "*+, 3)" in plan and "substring(" not in plan
+    plan = plan_of(spark, T.tidy_marks)
+    assert plan.count("replace(") == 2 + 1 and plan.lower().count("contains(") == 2  # two patterns and tabs; tabs and two blanks
+    texts = [*odd_texts(1500), "a. b", "?!a", "?!a. ", "a.\u3000.", "a.\u3000b", "a" * 9]
+    cut = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.has_sentences(F.col("t")).alias("n")).collect()
+    assert [r for r in cut if r.n is not (len([x for x in re.split("[.!?]+", r.t) if x.strip()]) > 1)] == []
+    rest = " is it. " + " ".join(f"w{i}" for i in range(30)) + "."
+    rows = [("what is it to us", "the" + rest, 10.0), ("what is the toDo of", "the" + rest, 7.0), ("what is it to us", "the xXx" + rest, 7.0),
+            ("what is xx", "x" + rest, 6.0), ("what [is it", "to] us" + rest, 6.0), (None, "todo" + rest, 7.0), ("what is it to us", None, 10.0)]
+    rows = [*((*r, "en") for r in rows), (None, "the" + rest, 8.0, "de")]
+    df = spark.createDataFrame(rows, "q string, a string, n double, l string")
+    scored = df.select("n", G.quality_score(F.col("q"), F.col("a"), {"en": ("the", "is")}, F.col("l")).alias("s")).collect()
+    assert [r.s for r in scored] == [r.n for r in scored]
